@@ -95,15 +95,17 @@ def tokens(c: "Column | str") -> Column:
 
 
 def word_ngrams(tok: "Column | str", n_max: int = C.TFIDF_NGRAM_MAX) -> Column:
-    """Unigrams followed by 2..n_max-grams of adjacent tokens joined by a space."""
+    """Unigrams followed by 2..n_max-grams of adjacent tokens joined by a space.
+
+    Linear in the token count: the k-grams are the (k-1)-grams zipped with
+    the token array shifted by k-1. Pass a column *reference* (not the
+    tokenizer expression) so the tokens are computed once per row."""
     tok = _col(tok)
-    out = tok
-    for n in range(2, n_max + 1):
-        # start positions 1..size-n+1; slice(tok, i, n) is the n-gram at i
-        starts = F.sequence(F.lit(1), F.size(tok) - n + 1)
-        grams = F.when(
-            F.size(tok) >= n,
-            F.transform(starts, lambda i: F.array_join(F.slice(tok, i, n), " ")),
-        ).otherwise(F.array().cast("array<string>"))
+    out, grams = tok, tok
+    for k in range(2, n_max + 1):
+        n = F.size(tok) - k + 1
+        nxt = F.zip_with(F.slice(grams, 1, n), F.slice(tok, k, n),
+                         lambda a, b: F.concat(a, F.lit(" "), b))
+        grams = F.when(n >= 1, nxt).otherwise(F.array().cast("array<string>"))
         out = F.concat(out, grams)
     return out

@@ -14,6 +14,16 @@ from kindling import config as C
 from kindling.functions import text as tx
 from kindling.operators import features as fe
 from kindling.operators.dedupe import dedupe_labels
+from kindling.operators.drift import drift_report, ks_statistic, positive_rate_drift, rate_drift
+from kindling.operators.embed import l2_normalize
+from kindling.operators.metrics import (compare, confusion, metrics_by_split, metrics_long,
+                                        roc_auc, verdict)
+from kindling.operators.model import linear_score
+from kindling.operators.retrain import expanded_train, union_with_order
+from kindling.operators.scaler import Scaler, scaler_stats
+from kindling.operators.split import order_key, stratified_split
+from kindling.operators.summary import class_distribution, feature_summary, order_statistics
+from kindling.operators.tfidf import term_counts, vocabulary, weights
 from kindling.plans import views as V
 
 Q = {}
@@ -104,4 +114,248 @@ def labelled_features(spark, sf) -> DataFrame:
 
 @register("class_distribution")
 def q_class_distribution(spark, sf):
-    return labelled_features(spark, sf).groupBy("target").agg(F.count("*").alias("n"))
+    return class_distribution(labelled_features(spark, sf))
+
+
+# FIXED VALUES (ours): weights of the two fixed linear scorers used to check
+# scoring, metrics, AUC and comparison exactly against SQL. They are dyadic
+# fractions, so every weighted sum is exact in binary floating point and
+# both engines see the same score ties.
+BASELINE_WEIGHTS = {"word_count": 0.00390625, "has_url": 0.875, "hashtag_count": 0.375,
+                    "mention_count": -0.25, "has_keyword": 0.625}
+BASELINE_INTERCEPT = -2.0
+CANDIDATE_WEIGHTS = {"word_count": 0.0029296875, "has_url": 1.125, "hashtag_count": -0.3125,
+                     "mention_count": 0.1875, "has_keyword": 0.375}
+CANDIDATE_INTERCEPT = -1.875
+
+
+def labelled_split(spark, sf) -> DataFrame:
+    return stratified_split(labelled_features(spark, sf), id_col="id", target_col="target")
+
+
+def scored_splits(spark, sf, which: str = "baseline") -> DataFrame:
+    w, b = ((BASELINE_WEIGHTS, BASELINE_INTERCEPT) if which == "baseline"
+            else (CANDIDATE_WEIGHTS, CANDIDATE_INTERCEPT))
+    return linear_score(labelled_split(spark, sf), w, b)
+
+
+def scored_batch(spark, sf) -> DataFrame:
+    feat = fe.build_features(V.unlabelled(spark, sf))
+    return linear_score(feat, BASELINE_WEIGHTS, BASELINE_INTERCEPT)
+
+
+@register("feature_summary")
+def q_feature_summary(spark, sf):
+    s = feature_summary(labelled_features(spark, sf), C.FEATURE_COLUMNS)
+    return s.select("feature", F.col("count").cast("long").alias("count"),
+                    *[r6(F.col(c)).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
+@register("positive_rate_by_split")
+def q_positive_rate_by_split(spark, sf):
+    return labelled_split(spark, sf).groupBy("split").agg(
+        F.count("*").alias("n"), r6(F.avg("target")).alias("positive_rate"))
+
+
+@register("flagged_by_source")
+def q_flagged_by_source(spark, sf):
+    return scored_batch(spark, sf).groupBy("source").agg(
+        F.count("*").alias("n"), F.sum("label").cast("long").alias("n_flagged"))
+
+
+@register("seeded_sample")
+def q_seeded_sample(spark, sf):
+    lf = labelled_features(spark, sf)
+    return lf.orderBy(order_key("id"), "id").limit(5).select(
+        "id", "text", "cleaned_text", *C.FEATURE_COLUMNS, "target")
+
+
+@register("order_stats")
+def q_order_stats(spark, sf):
+    s = order_statistics(V.lat(spark, sf), "event_type", "value")
+    return s.select("event_type", F.col("n").cast("long").alias("n"), r6(F.col("avg")).alias("avg"),
+                    "min", "max", "p50", "p95", "p99")
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf):
+    return labelled_split(spark, sf).select("id", "target", "split")
+
+
+# ---------------------------------------------------------------------------
+# representations (R1-R10)
+# ---------------------------------------------------------------------------
+def train_rows(spark, sf) -> DataFrame:
+    return labelled_split(spark, sf).where(F.col("split") == "train")
+
+
+@register("tokens")
+def q_tokens(spark, sf):
+    m = V.msg(spark, sf).select("id", tx.clean_text("text").alias("cleaned_text"))
+    return m.select("id", F.posexplode(tx.tokens("cleaned_text")).alias("pos", "token")).select(
+        "id", F.col("pos").cast("int").alias("pos"), "token")
+
+
+@register("ngrams")
+def q_ngrams(spark, sf):
+    m = V.msg(spark, sf).select("id", tx.clean_text("text").alias("cleaned_text"))
+    return term_counts(m, "id", "cleaned_text")
+
+
+@register("vocabulary")
+def q_vocabulary(spark, sf):
+    v = vocabulary(train_rows(spark, sf), "id")
+    return v.select("term", "idx", "df", "ctf", r6(F.col("idf")).alias("idf"))
+
+
+@register("idf")
+def q_idf(spark, sf):
+    v = vocabulary(train_rows(spark, sf), "id")
+    return v.select("term", r6(F.col("idf")).alias("idf"))
+
+
+@register("tfidf_weights")
+def q_tfidf_weights(spark, sf):
+    split = labelled_split(spark, sf)
+    v = vocabulary(split.where(F.col("split") == "train"), "id")
+    w = weights(split, v, "id")
+    return w.select("id", "term", "idx", r6(F.col("weight")).alias("weight"))
+
+
+@register("scaler_stats")
+def q_scaler_stats(spark, sf):
+    s = scaler_stats(train_rows(spark, sf))
+    return s.select("feature", r6(F.col("mean")).alias("mean"), r6(F.col("std")).alias("std"))
+
+
+@register("scaled_features")
+def q_scaled_features(spark, sf):
+    split = labelled_split(spark, sf)
+    sc = Scaler.fit(split.where(F.col("split") == "train"))
+    return split.select("id", *[r6(c).alias(n) for c, n in
+                                zip(sc.columns(), [f"scaled_{f}" for f in C.FEATURE_COLUMNS])])
+
+
+@register("embedding_l2")
+def q_embedding_l2(spark, sf):
+    v = V.vec(spark, sf)
+    return v.select("id", F.posexplode(l2_normalize("embedding")).alias("dim", "x")).select(
+        "id", F.col("dim").cast("int").alias("dim"), r6(F.col("x")).alias("x"))
+
+
+# ---------------------------------------------------------------------------
+# scoring, metrics, comparison (M2-M4, E1-E8)
+# ---------------------------------------------------------------------------
+@register("score_fixed_weights")
+def q_score_fixed_weights(spark, sf):
+    s = scored_batch(spark, sf)
+    return s.select("id", r6(F.col("probability")).alias("probability"), "label")
+
+
+@register("confusion")
+def q_confusion(spark, sf):
+    return confusion(scored_splits(spark, sf), ["split"])
+
+
+def _metrics(spark, sf, which):
+    m = metrics_by_split(scored_splits(spark, sf, which))
+    return m.select("split", "tp", "fp", "fn", "tn",
+                    *[F.col(c) for c in C.METRIC_ORDER])
+
+
+@register("metrics_by_split")
+def q_metrics_by_split(spark, sf):
+    m = _metrics(spark, sf, "baseline")
+    return m.select("split", "tp", "fp", "fn", "tn", *[r6(F.col(c)).alias(c) for c in C.METRIC_ORDER])
+
+
+@register("roc_auc")
+def q_roc_auc(spark, sf):
+    a = roc_auc(scored_splits(spark, sf), ["split"])
+    return a.select("split", r6(F.col("roc_auc")).alias("roc_auc"))
+
+
+def _comparison(spark, sf):
+    b = metrics_long(_metrics(spark, sf, "baseline"), "baseline")
+    c = metrics_long(_metrics(spark, sf, "candidate"), "candidate")
+    return compare(b, c)
+
+
+@register("compare_models")
+def q_compare_models(spark, sf):
+    cmp = _comparison(spark, sf)
+    return cmp.select("split", "metric", "metric_rank", *[r6(F.col(c)).alias(c) for c in
+                                                           ("baseline", "candidate", "delta")])
+
+
+@register("promotion_verdict")
+def q_promotion_verdict(spark, sf):
+    v = verdict(_comparison(spark, sf))
+    return v.select(r6(F.col("baseline_f1")).alias("baseline_f1"),
+                    r6(F.col("candidate_f1")).alias("candidate_f1"),
+                    r6(F.col("delta")).alias("delta"), "promote", "verdict")
+
+
+# ---------------------------------------------------------------------------
+# drift (D1-D8)
+# ---------------------------------------------------------------------------
+def drift_sides(spark, sf):
+    return labelled_features(spark, sf), scored_batch(spark, sf)
+
+
+@register("ks_statistic")
+def q_ks_statistic(spark, sf):
+    ref, cur = drift_sides(spark, sf)
+    k = ks_statistic(ref, cur)
+    return k.select("feature", F.col("n_reference").cast("long").alias("n_reference"),
+                    F.col("n_current").cast("long").alias("n_current"),
+                    r6(F.col("statistic")).alias("statistic"))
+
+
+@register("rate_drift")
+def q_rate_drift(spark, sf):
+    ref, cur = drift_sides(spark, sf)
+    r = rate_drift(ref, cur)
+    return r.select("feature", *[r6(F.col(c)).alias(c) for c in ("reference_rate", "current_rate", "diff")],
+                    F.col("flagged").cast("int").alias("flagged"))
+
+
+@register("positive_rate_drift")
+def q_positive_rate_drift(spark, sf):
+    ref, cur = drift_sides(spark, sf)
+    p = positive_rate_drift(ref, cur)
+    return p.select(r6(F.col("reference_rate")).alias("reference_rate"),
+                    r6(F.col("current_rate")).alias("current_rate"),
+                    F.col("flagged").cast("int").alias("flagged"))
+
+
+@register("drift_report")
+def q_drift_report(spark, sf):
+    ref, cur = drift_sides(spark, sf)
+    return drift_report(ref, cur)
+
+
+# ---------------------------------------------------------------------------
+# union / expanded train (U1-U2)
+# ---------------------------------------------------------------------------
+def new_label_batch(spark, sf) -> DataFrame:
+    """Reviewer corrections: the unlabelled messages with a parity label."""
+    u = V.unlabelled(spark, sf)
+    return u.select("id", "keyword", "text", (F.col("id") % 2).cast("int").alias("target"))
+
+
+@register("union_by_name")
+def q_union_by_name(spark, sf):
+    train = train_rows(spark, sf).drop("split")
+    new = fe.build_features(new_label_batch(spark, sf))
+    u = union_with_order(train, [new])
+    return u.select("id", "keyword", "text", "source", "target", "cleaned_text",
+                    *C.FEATURE_COLUMNS, "_src")
+
+
+@register("expanded_train")
+def q_expanded_train(spark, sf):
+    train = train_rows(spark, sf).drop("split")
+    new = fe.build_features(new_label_batch(spark, sf))
+    return expanded_train(train, [new]).select("id", "keyword", "text", "source", "target",
+                                                 "cleaned_text", *C.FEATURE_COLUMNS)
