@@ -59,6 +59,8 @@ TFIDF_MIN_DF = 2
 
 LR_C = 1.0
 LR_MAX_ITER = 1000
+# ours: relative objective change at which L-BFGS stops (Spark default)
+LR_TOL = 1e-6
 
 DECISION_THRESHOLD = 0.5
 KS_P_VALUE_THRESHOLD = 0.05
@@ -80,5 +82,7 @@ STAMP_FORMAT = "yyyyMMdd'T'HHmmss'Z'"
 PREFIX_BUCKETS = 4096
 # Hex digits of md5 used as a uniform bucket for exact ranked cuts.
 RANK_BUCKET_HEX = 4
+# Rows per task when fitting the classifier (one distributed pass per iteration).
+ROWS_PER_FIT_PARTITION = 200_000
 # Upper bound (rows) for any side we broadcast without a runtime size check.
 BROADCAST_ROW_LIMIT = 2_000_000

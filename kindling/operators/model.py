@@ -103,7 +103,7 @@ def make_classifier(n_train: int) -> LogisticRegression:
     return LogisticRegression(
         featuresCol="features", labelCol="_y", regParam=C.LR_C / max(n_train, 1),
         elasticNetParam=0.0, standardization=False, fitIntercept=True,
-        maxIter=C.LR_MAX_ITER, tol=1e-10)
+        maxIter=C.LR_MAX_ITER, tol=C.LR_TOL)
 
 
 @dataclass
@@ -131,6 +131,11 @@ def fit(representation, train: DataFrame, target_col: str = "target", id_col: st
     representation.fit(train, id_col)
     n_train = train.count()
     data = representation.transform(train.withColumn("_y", F.col(target_col).cast("double")))
+    # L-BFGS runs one distributed pass per iteration; size the input so each
+    # task holds ~ROWS_PER_FIT_PARTITION rows (narrow coalesce, no shuffle)
+    want = max(1, -(-n_train // C.ROWS_PER_FIT_PARTITION))
+    if data.rdd.getNumPartitions() > want:
+        data = data.coalesce(want)
     clf = make_classifier(n_train).fit(data)
     return TriageModel(representation, clf, {"n_train": n_train, "name": representation.name})
 

@@ -7,6 +7,8 @@ compare value for value with DuckDB.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +26,11 @@ from kindling.operators.scaler import Scaler, scaler_stats
 from kindling.operators.split import order_key, stratified_split
 from kindling.operators.summary import class_distribution, feature_summary, order_statistics
 from kindling.operators.tfidf import term_counts, vocabulary, weights
+from kindling.plans import jobs as J
 from kindling.plans import views as V
+from kindling.session import materialize, work_dir
+from kindling.streaming.ingest import run_ingestion
+from kindling.streaming.prediction_log import read_log, start_log_stream
 
 Q = {}
 
@@ -359,3 +365,74 @@ def q_expanded_train(spark, sf):
     new = fe.build_features(new_label_batch(spark, sf))
     return expanded_train(train, [new]).select("id", "keyword", "text", "source", "target",
                                                  "cleaned_text", *C.FEATURE_COLUMNS)
+
+
+# ---------------------------------------------------------------------------
+# model training, retraining, streaming (rows-only checks)
+# ---------------------------------------------------------------------------
+def frozen_split(spark, sf) -> DataFrame:
+    """The labelled split written once as a table in the session's shared
+    checkpoint folder, so the iterative fit and every evaluation read the
+    same frozen rows without recomputing the lineage."""
+    return materialize(labelled_split(spark, sf), "splits")
+
+
+@register("train_and_score")
+def q_train_and_score(spark, sf):
+    _, metrics = J.train_baseline(spark, frozen_split(spark, sf))
+    return metrics.select("model", "split", "metric", r6(F.col("value")).alias("value"))
+
+
+@register("candidate_train_and_score")
+def q_candidate_train_and_score(spark, sf):
+    emb = V.vec(spark, sf).select("id", "embedding")
+    split = frozen_split(spark, sf).join(emb, "id", "inner")
+    _, metrics = J.train_candidate(spark, split)
+    return metrics.select("model", "split", "metric", r6(F.col("value")).alias("value"))
+
+
+@register("retrain_cycle")
+def q_retrain_cycle(spark, sf):
+    base = work_dir(spark, f"retrain-{uuid.uuid4().hex}")
+    split = frozen_split(spark, sf)
+    summary, metrics = J.retrain_cycle(
+        spark, split, [new_label_batch(spark, sf)], model_path=f"{base}/models/baseline",
+        metrics_path=f"{base}/metrics/baseline", archive_dir=f"{base}/archive",
+        candidate_metrics_dir=f"{base}/metrics/retrain_candidates")
+    return metrics.select("model", "split", "metric", r6(F.col("value")).alias("value"),
+                          F.lit(summary["promoted"]).cast("int").alias("promoted"))
+
+
+def _incoming_batch(spark, sf, folder: str, n_files: int = 4) -> None:
+    """Drop the unlabelled messages as CSV files (with embedded newlines)."""
+    u = V.unlabelled(spark, sf).select("id", "keyword", "text")
+    u.repartition(n_files, "id").write.mode("overwrite").option("header", "true") \
+        .option("escape", '"').csv(folder)
+
+
+def _baseline_model(spark, sf):
+    model, _ = J.train_baseline(spark, frozen_split(spark, sf))
+    return model
+
+
+@register("ingest_stream")
+def q_ingest_stream(spark, sf):
+    base = work_dir(spark, f"ingest-{uuid.uuid4().hex}")
+    _incoming_batch(spark, sf, f"{base}/incoming")
+    model = _baseline_model(spark, sf)
+    run_ingestion(spark, f"{base}/incoming", f"{base}/triaged", f"{base}/_checkpoint", model)
+    return spark.read.option("header", "true").option("multiLine", "true").option("escape", '"') \
+        .csv(f"{base}/triaged").select("id", "keyword", "text", "probability", "label")
+
+
+@register("prediction_log")
+def q_prediction_log(spark, sf):
+    base = work_dir(spark, f"plog-{uuid.uuid4().hex}")
+    model = _baseline_model(spark, sf)
+    V.unlabelled(spark, sf).write.mode("overwrite").parquet(f"{base}/requests")
+    stream = spark.readStream.schema("id long, keyword string, text string, source string, lang string") \
+        .parquet(f"{base}/requests")
+    q = start_log_stream(model.score(stream), f"{base}/log", f"{base}/_checkpoint",
+                         model.meta.get("name", "baseline_tfidf"))
+    q.awaitTermination()
+    return read_log(spark, f"{base}/log")

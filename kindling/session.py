@@ -68,3 +68,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: one job, lineage cut, and the files survive executor loss."""
+    import uuid
+    path = work_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
