@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kindling import config as C
+from kindling.session import reuse
 
 MAX_CLASSES = 100_000
 
@@ -63,7 +64,11 @@ def stratified_split(df: DataFrame, id_col: str, target_col: str = "target",
     keyed = df.withColumn("_h", order_key(id_col, seed)).withColumn(
         "_bk", F.substring("_h", 1, hex_digits))
 
-    class_rows = df.groupBy(target_col).count().limit(MAX_CLASSES + 1).collect()
+    # (class, bucket) counts: bounded by classes x 16^hex_digits rows, kept
+    # once; class totals come from it, so the big input is read only twice
+    per_bucket = reuse(keyed.groupBy(target_col, "_bk").agg(F.count("*").alias("_cnt")))
+    class_rows = per_bucket.groupBy(target_col).agg(F.sum("_cnt").alias("count")) \
+        .limit(MAX_CLASSES + 1).collect()
     if len(class_rows) > MAX_CLASSES:
         raise ValueError(f"stratify column {target_col!r} has more than {MAX_CLASSES} classes")
     counts = {r[target_col]: r["count"] for r in class_rows}
@@ -73,7 +78,6 @@ def stratified_split(df: DataFrame, id_col: str, target_col: str = "target",
         schema=f"{target_col} {df.schema[target_col].dataType.simpleString()}, _cut1 long, _cut2 long",
     )
 
-    per_bucket = keyed.groupBy(target_col, "_bk").agg(F.count("*").alias("_cnt"))
     w = Window.partitionBy(target_col).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         per_bucket.select(target_col, "_bk", "_cnt",

@@ -77,3 +77,10 @@ def materialize(df, name: str):
     path = work_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def reuse(df):
+    """Keep a small intermediate (pre-aggregated, bounded) that several jobs
+    read. A lost block is recomputed from lineage, so executor loss is safe."""
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
