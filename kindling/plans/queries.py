@@ -198,8 +198,9 @@ def train_rows(spark, sf) -> DataFrame:
 @register("tokens")
 def q_tokens(spark, sf):
     m = V.msg(spark, sf).select("id", tx.clean_text("text").alias("cleaned_text"))
-    return m.select("id", F.posexplode(tx.tokens("cleaned_text")).alias("pos", "token")).select(
-        "id", F.col("pos").cast("int").alias("pos"), "token")
+    # posexplode_outer: see term_counts (no inferred filter below the exchange)
+    return m.select("id", F.posexplode_outer(tx.tokens("cleaned_text")).alias("pos", "token")).where(
+        F.col("token").isNotNull()).select("id", F.col("pos").cast("int").alias("pos"), "token")
 
 
 @register("ngrams")
@@ -245,8 +246,9 @@ def q_scaled_features(spark, sf):
 @register("embedding_l2")
 def q_embedding_l2(spark, sf):
     v = V.vec(spark, sf)
-    return v.select("id", F.posexplode(l2_normalize("embedding")).alias("dim", "x")).select(
-        "id", F.col("dim").cast("int").alias("dim"), r6(F.col("x")).alias("x"))
+    return v.select("id", F.posexplode_outer(l2_normalize("embedding")).alias("dim", "x")).where(
+        F.col("dim").isNotNull()).select("id", F.col("dim").cast("int").alias("dim"),
+                                         r6(F.col("x")).alias("x"))
 
 
 # ---------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindling.sources.tables import table
+from kindling.sources.tables import spread, table
 
 # FIXED VALUES for the derived views (shared with the SQL twins).
 MOJIBAKE_SNIPPET = " can\x89\xdb\xaat stop"      # repaired to an apostrophe
@@ -22,7 +22,7 @@ ENTITY_SNIPPET = " a &amp; b"
 def msg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents -> short-message shape (id, keyword, text) with hashtags,
     mentions, URLs, entities and mojibake attached to the *whole* text."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"), "doc_id")
     i = F.col("doc_id")
     text = F.concat(
         F.repeat(F.concat(F.lit("#"), F.col("source"), F.lit(" ")), (i % 3).cast("int")),
@@ -46,7 +46,7 @@ def msg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents with a parity label: duplicate texts carry conflicting votes."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"), "doc_id")
     return d.select(F.col("doc_id").alias("id"), F.col("text"), F.col("source"),
                     (F.col("doc_id") % 2).cast("int").alias("target"))
 
@@ -72,8 +72,8 @@ def vec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def web(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return spread(table(spark, sf_dir, "pages"), "page_id").select("page_id", "url", "html")
 
 
 def lat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    return spread(table(spark, sf_dir, "events").select("event_id", "event_type", "value"), "event_id")

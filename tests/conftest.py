@@ -1,0 +1,30 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+
+    from kindling.session import ensure_checkpoint_dir
+    s = (SparkSession.builder.master("local[*]")
+         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.ui.enabled", "false")
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         .getOrCreate())
+    s.sparkContext.setLogLevel("ERROR")
+    ensure_checkpoint_dir(s)
+    yield s
+
+
+@pytest.fixture
+def tmp_dir(tmp_path):
+    return str(tmp_path)

@@ -1,0 +1,131 @@
+import json
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from kindling import config as C
+from kindling.operators.drift import drift_report, ks_statistic, positive_rate_drift, rate_drift
+from kindling.operators.ks import ks_pvalue
+from kindling.operators.metrics import metrics_by_split, rates, roc_auc, should_promote
+from kindling.operators.prefix import running_sums
+
+
+@pytest.mark.parametrize("tp, fp, fn, tn, acc, p, r, f1", [
+    (319, 78, 160, 567, .7883, .8035, .6660, .7283),
+    (324, 68, 155, 577, .8016, .8265, .6764, .7440),
+    (349, 91, 130, 554, .8034, .7932, .7286, .7595),
+    (346, 96, 133, 549, .7963, .7828, .7223, .7514),
+    (326, 69, 153, 576, .8025, .8253, .6806, .7460),
+])
+def test_metric_goldens(spark, tp, fp, fn, tn, acc, p, r, f1):
+    row = rates(spark.createDataFrame([(tp, fp, fn, tn)], "tp long, fp long, fn long, tn long")).first()
+    assert (round(row["accuracy"], 4), round(row["precision"], 4), round(row["recall"], 4),
+            round(row["f1"], 4)) == (acc, p, r, f1)
+
+
+def test_zero_division_metrics(spark):
+    row = rates(spark.createDataFrame([(0, 0, 3, 5)], "tp long, fp long, fn long, tn long")).first()
+    assert row["precision"] == 0.0 and row["f1"] == 0.0
+
+
+def test_roc_auc_matches_brute_force(spark):
+    rng = np.random.default_rng(0)
+    y = rng.integers(0, 2, 400)
+    s = np.round(rng.random(400) * 0.5 + y * 0.2, 2)          # many ties
+    df = spark.createDataFrame(pd.DataFrame({"g": "a", "target": y, "probability": s}))
+    got = roc_auc(df, ["g"]).first()["roc_auc"]
+    pos, neg = s[y == 1], s[y == 0]
+    exp = np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg])
+    assert abs(got - exp) < 1e-12
+    one = spark.createDataFrame([("a", 1, 0.3), ("a", 1, 0.4)], "g string, target int, probability double")
+    assert roc_auc(one, ["g"]).first()["roc_auc"] is None
+
+
+def test_metrics_by_split_shape(spark):
+    df = spark.createDataFrame([("val", 1, 1, 0.9), ("val", 0, 0, 0.1), ("test", 1, 0, 0.4),
+                                ("test", 0, 0, 0.2)],
+                               "split string, target int, prediction int, probability double")
+    out = {r["split"]: r for r in metrics_by_split(df).collect()}
+    assert out["val"]["f1"] == 1.0 and out["test"]["recall"] == 0.0 and out["test"]["roc_auc"] == 1.0
+
+
+@pytest.mark.parametrize("new, cur, expected", [
+    (0.7514, 0.7440, False), (0.7460, 0.7440, False), (0.8, None, True), (0.5, 0.999, False),
+    (0.5, 0.0, True), (0.009, 0.0, False),
+])
+def test_promotion_rule(spark, new, cur, expected):
+    df = spark.createDataFrame([(new, cur)], "n double, c double")
+    assert df.select(should_promote(F.col("n"), F.col("c")).alias("p")).first()["p"] is expected
+
+
+@pytest.mark.parametrize("n1, n2, d, p", [
+    (5245, 6, 0.6411820781696854, 0.006336507011843246),
+    (5245, 6, 0.23126787416587227, 0.8412673189816875),
+    (5245, 6, 0.2659675881792183, 0.7031936997428919),
+    (5245, 60, 0.08841754051477597, 0.7088398736669501),
+    (5245, 60, 0.048427073403241185, 0.9979102903833202),
+    (5245, 60, 0.0340324118207817, 0.9999986658020779),
+])
+def test_ks_pvalue_goldens(n1, n2, d, p):
+    assert abs(ks_pvalue(d, n1, n2) - p) < 1e-12
+
+
+def _ref(n=200, seed=0):
+    rng = np.random.default_rng(seed)
+    return pd.DataFrame({"word_count": rng.integers(5, 25, n), "hashtag_count": rng.integers(0, 3, n),
+                         "mention_count": rng.integers(0, 3, n), "has_url": rng.integers(0, 2, n),
+                         "has_keyword": np.ones(n, dtype=int)})
+
+
+def _ks_numpy(a, b):
+    allv = np.concatenate([a, b])
+    cdf1 = np.searchsorted(np.sort(a), allv, side="right") / len(a)
+    cdf2 = np.searchsorted(np.sort(b), allv, side="right") / len(b)
+    return np.max(np.abs(cdf1 - cdf2))
+
+
+def test_ks_statistic_matches_numpy(spark):
+    r, c = _ref(seed=1), _ref(n=57, seed=2)
+    got = {x["feature"]: x["statistic"] for x in
+           ks_statistic(spark.createDataFrame(r), spark.createDataFrame(c)).collect()}
+    for f in C.NUMERIC_FEATURES:
+        assert abs(got[f] - _ks_numpy(r[f].values, c[f].values)) < 1e-12
+
+
+def test_running_sums_many_buckets(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 2000), "v": rng.random(2000), "w": rng.integers(0, 5, 2000)})
+    pdf = pdf.groupby(["g", "v"], as_index=False)["w"].sum()
+    got = running_sums(spark.createDataFrame(pdf), ["g"], "v", ["w"], buckets=16).toPandas()
+    got = got.sort_values(["g", "v"])
+    exp = pdf.sort_values(["g", "v"]).groupby("g")["w"].cumsum().values
+    assert (got["cum_w"].values == exp).all()
+
+
+def test_drift_flags_and_report(spark):
+    ref = spark.createDataFrame(_ref(seed=1).assign(target=1))
+    same = spark.createDataFrame(_ref(seed=2).assign(label=1))
+    rep = {r["check"]: r for r in drift_report(ref, same).collect()}
+    assert rep["word_count"]["flagged"] == 0 and rep["has_url"]["flagged"] == 0
+    shifted = spark.createDataFrame(_ref(seed=1).assign(word_count=lambda d: d.word_count + 100))
+    rep2 = {r["check"]: r for r in drift_report(ref, shifted).collect()}
+    assert rep2["word_count"]["flagged"] == 1 and rep2["word_count"]["any_drift"] == 1
+    nourl = spark.createDataFrame(_ref(seed=1).assign(has_url=0))
+    rd = {r["feature"]: r for r in rate_drift(ref, nourl).collect()}
+    assert rd["has_url"]["flagged"] is True
+    json.dumps([r.asDict() for r in drift_report(ref, same).collect()])
+
+
+def test_insufficient_sample_and_positive_rate(spark):
+    ref = spark.createDataFrame(_ref(seed=1).assign(target=1))
+    small = spark.createDataFrame(_ref(n=29, seed=2))
+    big = spark.createDataFrame(_ref(n=30, seed=2))
+    assert drift_report(ref, small).first()["insufficient_sample"] == 1
+    assert drift_report(ref, big).first()["insufficient_sample"] == 0
+    r = spark.createDataFrame(pd.DataFrame({"target": [1] * 43 + [0] * 57}))
+    assert positive_rate_drift(r, spark.createDataFrame(pd.DataFrame({"label": [1] * 45 + [0] * 55}))
+                               ).first()["flagged"] is False
+    assert positive_rate_drift(r, spark.createDataFrame(pd.DataFrame({"label": [1] * 90 + [0] * 10}))
+                               ).first()["flagged"] is True
