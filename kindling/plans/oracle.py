@@ -417,3 +417,8 @@ SQL["expanded_train"] = with_(MSG, LAB, LAB_FEAT, SPLIT, UNLAB, POOL,
                               dedupe_sql("pool", POOL_COLS, "exp", order="_src, id")) + (
     "SELECT id, keyword, text, source, target, cleaned_text, word_count, has_url, hashtag_count, "
     "mention_count, has_keyword FROM exp")
+
+SQL["row_counts"] = with_(DUP, dedupe_sql("dup", ["id", "text", "source", "target"])) + """
+SELECT 'raw' AS stage, count(*) AS n FROM dup
+UNION ALL SELECT 'distinct_texts' AS stage, count(DISTINCT text) AS n FROM dup
+UNION ALL SELECT 'deduped' AS stage, count(*) AS n FROM deduped"""

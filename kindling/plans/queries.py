@@ -438,3 +438,14 @@ def q_prediction_log(spark, sf):
                          model.meta.get("name", "baseline_tfidf"))
     q.awaitTermination()
     return read_log(spark, f"{base}/log")
+
+
+@register("row_counts")
+def q_row_counts(spark, sf):
+    """Rows in, distinct texts, rows kept after dedupe (dropped = the rest)."""
+    d = V.dup(spark, sf)
+    raw = d.agg(F.count("*").alias("n")).select(F.lit("raw").alias("stage"), "n")
+    texts = d.agg(F.count_distinct("text").alias("n")).select(F.lit("distinct_texts").alias("stage"), "n")
+    kept = dedupe_labels(d, order_col="id").agg(F.count("*").alias("n")).select(
+        F.lit("deduped").alias("stage"), "n")
+    return raw.unionByName(texts).unionByName(kept)
