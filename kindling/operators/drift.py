@@ -102,13 +102,18 @@ def drift_report(reference: DataFrame, current: DataFrame, target_col: str = "ta
         (F.col("current_rate") - F.col("reference_rate")).alias("diff"), "flagged")
     sizes = reference.select(F.lit(1).alias("_r")).unionByName(
         current.select(F.lit(0).alias("_r"))).agg(
-        F.sum("_r").cast("long").alias("n_reference"),
-        F.sum(1 - F.col("_r")).cast("long").alias("n_current"))
-    checks = ks.unionByName(rd).unionByName(pr).withColumn("_k", F.lit(1))
-    header = sizes.withColumn("_k", F.lit(1))
-    w = Window.partitionBy("_k")   # 6 rows in total
-    return checks.join(F.broadcast(header), "_k", "inner").select(
+        F.sum("_r").cast("long").alias("_nr"), F.sum(1 - F.col("_r")).cast("long").alias("_nc"))
+    checks = ks.unionByName(rd).unionByName(pr)
+    # header row unioned in and spread by a window over the <= 7 report rows
+    # (no join: a literal-key join would fold into a cross join)
+    rows = checks.withColumn("_nr", F.lit(None).cast("long")).withColumn(
+        "_nc", F.lit(None).cast("long")).unionByName(sizes, allowMissingColumns=True)
+    w = Window.partitionBy()
+    spread_ = rows.select(
+        "*", F.max("_nr").over(w).alias("n_reference"), F.max("_nc").over(w).alias("n_current"),
+        F.max(F.col("flagged").cast("int")).over(w).alias("any_drift"))
+    return spread_.where(F.col("check").isNotNull()).select(
         "check", "test", "statistic", "p_value", "reference_rate", "current_rate", "diff",
         F.col("flagged").cast("int").alias("flagged"), "n_reference", "n_current",
         (F.col("n_current") < C.MIN_BATCH_SIZE).cast("int").alias("insufficient_sample"),
-        F.max(F.col("flagged").cast("int")).over(w).alias("any_drift"))
+        "any_drift")

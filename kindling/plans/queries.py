@@ -136,13 +136,17 @@ CANDIDATE_INTERCEPT = -1.875
 
 
 def labelled_split(spark, sf) -> DataFrame:
-    return stratified_split(labelled_features(spark, sf), id_col="id", target_col="target")
+    """Dedupe -> split -> featurise. Features are row-wise, so featurising
+    after the split is the same result, and each split branch featurises only
+    its own rows (the text chain runs once per row)."""
+    deduped = dedupe_labels(V.lab(spark, sf), order_col="id")
+    return fe.build_features(stratified_split(deduped, id_col="id", target_col="target"))
 
 
-def scored_splits(spark, sf, which: str = "baseline") -> DataFrame:
+def scored_splits(spark, sf, which: str = "baseline", split: DataFrame | None = None) -> DataFrame:
     w, b = ((BASELINE_WEIGHTS, BASELINE_INTERCEPT) if which == "baseline"
             else (CANDIDATE_WEIGHTS, CANDIDATE_INTERCEPT))
-    return linear_score(labelled_split(spark, sf), w, b)
+    return linear_score(split if split is not None else labelled_split(spark, sf), w, b)
 
 
 def scored_batch(spark, sf) -> DataFrame:
@@ -265,8 +269,8 @@ def q_confusion(spark, sf):
     return confusion(scored_splits(spark, sf), ["split"])
 
 
-def _metrics(spark, sf, which):
-    m = metrics_by_split(scored_splits(spark, sf, which))
+def _metrics(spark, sf, which, split=None):
+    m = metrics_by_split(scored_splits(spark, sf, which, split))
     return m.select("split", "tp", "fp", "fn", "tn",
                     *[F.col(c) for c in C.METRIC_ORDER])
 
@@ -284,8 +288,9 @@ def q_roc_auc(spark, sf):
 
 
 def _comparison(spark, sf):
-    b = metrics_long(_metrics(spark, sf, "baseline"), "baseline")
-    c = metrics_long(_metrics(spark, sf, "candidate"), "candidate")
+    split = labelled_split(spark, sf)          # one split, scored by both models
+    b = metrics_long(_metrics(spark, sf, "baseline", split), "baseline")
+    c = metrics_long(_metrics(spark, sf, "candidate", split), "candidate")
     return compare(b, c)
 
 
