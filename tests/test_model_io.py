@@ -141,3 +141,30 @@ def test_expanded_train_tie_drops_text(spark):
     assert expanded_train(train, []).count() == 2
     out = {r["text"]: r["target"] for r in expanded_train(train, [new]).collect()}
     assert out == {"b text": 0, "c text": 1}
+
+
+def test_streaming_prediction_log(spark, tiny, tmp_dir):
+    from kindling.streaming.prediction_log import read_log, start_log_stream
+    model, _ = tiny
+    req = os.path.join(tmp_dir, "requests")
+    spark.createDataFrame([(1, "forest fire", "fire"), (2, "nice song", None)],
+                          "id long, text string, keyword string").write.parquet(req)
+    stream = spark.readStream.schema("id long, text string, keyword string").parquet(req)
+    q = start_log_stream(model.score(stream), os.path.join(tmp_dir, "log"),
+                         os.path.join(tmp_dir, "ck"), "baseline_tfidf")
+    q.awaitTermination()
+    log = read_log(spark, os.path.join(tmp_dir, "log")).collect()
+    assert len(log) == 2 and all(r["model_name"] == "baseline_tfidf" and r["timestamp"] for r in log)
+
+
+def test_candidate_representation(spark):
+    from kindling.operators.model import CandidateRepresentation
+    rows = [(i, f"text {i}", [float(i % 3), 1.0, 0.0] if i % 5 else [0.0, 0.0, 0.0], i % 2)
+            for i in range(20)]
+    df = fe.build_features(spark.createDataFrame(
+        rows, "id long, text string, embedding array<float>, target int"))
+    model = fit(CandidateRepresentation(), df)
+    out = model.score(df)
+    assert out.count() == 20 and "probability" in out.columns
+    v = model.representation.transform(df).select("features").first()["features"]
+    assert v.size == 3 + 5
