@@ -168,3 +168,12 @@ def test_candidate_representation(spark):
     assert out.count() == 20 and "probability" in out.columns
     v = model.representation.transform(df).select("features").first()["features"]
     assert v.size == 3 + 5
+
+
+def test_expanded_train_holdout_exclusion(spark):
+    from kindling.operators.retrain import expanded_train
+    train = spark.createDataFrame([(1, "a text", 1)], "id long, text string, target int")
+    new = spark.createDataFrame([(9, "held out", 0), (10, "fresh", 1)], "id long, text string, target int")
+    hold = spark.createDataFrame([(5, "held out", 1)], "id long, text string, target int")
+    assert {r["text"] for r in expanded_train(train, [new]).collect()} == {"a text", "held out", "fresh"}
+    assert {r["text"] for r in expanded_train(train, [new], holdout=hold).collect()} == {"a text", "fresh"}
