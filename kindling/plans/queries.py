@@ -288,7 +288,7 @@ def q_roc_auc(spark, sf):
 
 
 def _comparison(spark, sf):
-    split = labelled_split(spark, sf)          # one split, scored by both models
+    split = materialize(labelled_split(spark, sf), "splits")   # written once, scored by both models
     b = metrics_long(_metrics(spark, sf, "baseline", split), "baseline")
     c = metrics_long(_metrics(spark, sf, "candidate", split), "candidate")
     return compare(b, c)
