@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kindling import config as C
-from kindling.session import reuse
+from kindling.session import broadcast_if_small, reuse
 
 MAX_CLASSES = 100_000
 
@@ -84,8 +84,8 @@ def stratified_split(df: DataFrame, id_col: str, target_col: str = "target",
                           F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_lo"))
         .join(F.broadcast(size_df), target_col, "inner")
     )
-    # bounded: classes x 16^hex_digits rows
-    tagged = keyed.join(F.broadcast(offsets), [target_col, "_bk"], "inner")
+    # classes x 16^hex_digits rows at most: broadcast after a size check
+    tagged = keyed.join(broadcast_if_small(offsets), [target_col, "_bk"], "inner")
     lo, hi = F.col("_lo"), F.col("_lo") + F.col("_cnt")
     cut1, cut2 = F.col("_cut1"), F.col("_cut2")
 

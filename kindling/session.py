@@ -84,3 +84,15 @@ def reuse(df):
     read. A lost block is recomputed from lineage, so executor loss is safe."""
     from pyspark import StorageLevel
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def broadcast_if_small(df, limit: int | None = None):
+    """Broadcast ``df`` only after checking its size (one count job on a
+    small, usually cached table); beyond the limit, return it unhinted so the
+    planner uses a shuffle join instead."""
+    from pyspark.sql import functions as F
+
+    from kindling import config as C
+    limit = C.BROADCAST_ROW_LIMIT if limit is None else limit
+    n = df.limit(limit + 1).count()
+    return F.broadcast(df) if n <= limit else df

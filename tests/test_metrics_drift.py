@@ -129,3 +129,20 @@ def test_insufficient_sample_and_positive_rate(spark):
                                ).first()["flagged"] is False
     assert positive_rate_drift(r, spark.createDataFrame(pd.DataFrame({"label": [1] * 90 + [0] * 10}))
                                ).first()["flagged"] is True
+
+
+def test_running_sums_and_split_without_broadcast(spark, monkeypatch):
+    """Above the broadcast row limit the offsets join falls back to a shuffle
+    join; results must not change."""
+    from kindling import config
+    from kindling.operators.split import stratified_split
+    monkeypatch.setattr(config, "BROADCAST_ROW_LIMIT", 1)
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 500), "v": rng.random(500), "w": rng.integers(0, 5, 500)})
+    pdf = pdf.groupby(["g", "v"], as_index=False)["w"].sum()
+    got = running_sums(spark.createDataFrame(pdf), ["g"], "v", ["w"], buckets=8).toPandas()
+    got = got.sort_values(["g", "v"])
+    assert (got["cum_w"].values == pdf.sort_values(["g", "v"]).groupby("g")["w"].cumsum().values).all()
+    df = spark.createDataFrame([(i, i % 3 == 0 and 1 or 0) for i in range(300)], "id long, target int")
+    sizes = stratified_split(df, "id", hex_digits=1).groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in sizes} == {"train": 210, "val": 45, "test": 45}
