@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindling.operators.prefix import running_sums, value_at_rank
+from kindling.session import reuse
 
 
 def class_distribution(df: DataFrame, target_col: str = "target") -> DataFrame:
@@ -18,13 +19,17 @@ def to_long(df: DataFrame, columns: list[str], ids: list[str] | None = None,
     return cast.unpivot(ids or [], columns, name, value)
 
 
-def exact_quantiles(long: DataFrame, group_cols: list[str], qs: dict[str, float],
+def value_counts(long: DataFrame, group_cols: list[str], value: str = "value") -> DataFrame:
+    """(group, value, c): one row per distinct value, partial aggregation."""
+    return long.where(F.col(value).isNotNull()).groupBy(*group_cols, value).agg(
+        F.count("*").alias("c"))
+
+
+def exact_quantiles(counts: DataFrame, group_cols: list[str], qs: dict[str, float],
                     value: str = "value") -> DataFrame:
     """Exact linear-interpolated quantiles (numpy/pandas default) per group,
     from per-value counts and a distributed running count - no group is ever
     gathered into one task."""
-    counts = long.where(F.col(value).isNotNull()).groupBy(*group_cols, value).agg(
-        F.count("*").alias("c"))
     cum = running_sums(counts, group_cols, value, ["c"])
     n1 = F.col("total_c") - 1
     ranks = {}
@@ -32,28 +37,37 @@ def exact_quantiles(long: DataFrame, group_cols: list[str], qs: dict[str, float]
         pos = F.lit(q) * n1
         ranks[f"_{name}_lo"] = F.floor(pos)
         ranks[f"_{name}_hi"] = F.ceil(pos)
-    picked = value_at_rank(cum, group_cols, value, "c", ranks)
-    frac = cum.groupBy(*group_cols).agg(F.first("total_c").alias("_n"))
-    out = picked.join(frac, group_cols, "inner")
+    picked = cum.groupBy(*group_cols).agg(
+        *[F.min(F.when(F.col("cum_c") > r, F.col(value))).alias(k) for k, r in ranks.items()],
+        F.first("total_c").alias("_n"))
     cols = []
     for name, q in qs.items():
         pos = F.lit(q) * (F.col("_n") - 1)
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         cols.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return out.select(*group_cols, *cols)
+    return picked.select(*group_cols, *cols)
 
 
 def feature_summary(df: DataFrame, features: list[str]) -> DataFrame:
-    """count, mean, std (ddof 1), min, 25/50/75 % (linear), max per feature."""
-    long = to_long(df, features)
-    moments = long.groupBy("feature").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quant = exact_quantiles(long, ["feature"], {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    """count, mean, std (ddof 1), min, 25/50/75 % (linear), max per feature.
+
+    Everything comes from one (feature, value, count) table, so the input is
+    read once: moments are exact sums over distinct values (two passes for
+    the variance), quantiles use the distributed running count."""
+    counts = reuse(value_counts(to_long(df, features), ["feature"]))
+    c, v = F.col("c"), F.col("value")
+    first = counts.groupBy("feature").agg(
+        F.sum(c).alias("count"), (F.sum(c * v) / F.sum(c)).alias("mean"),
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    # one row per feature (bounded by the feature list)
+    centred = counts.join(F.broadcast(first.select("feature", "mean")), "feature", "inner")
+    ss = centred.groupBy("feature").agg(
+        F.sum(c * (v - F.col("mean")) * (v - F.col("mean"))).alias("_ss"))
+    moments = first.join(ss, "feature", "inner").select(
+        "feature", "count", "mean",
+        F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1))).alias("std"),
+        "min", "max")
+    quant = exact_quantiles(counts, ["feature"], {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     return moments.join(quant, "feature", "left")
 
 
