@@ -1,5 +1,3 @@
-import pandas as pd
-
 from kindling.operators import features as fe
 from kindling.operators.dedupe import dedupe_labels
 from kindling.operators.split import split_sizes, stratified_split
