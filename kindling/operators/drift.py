@@ -16,6 +16,7 @@ from kindling import config as C
 from kindling.operators.ks import ks_pvalue
 from kindling.operators.prefix import running_sums
 from kindling.operators.summary import to_long
+from kindling.session import reuse
 
 
 def _tagged(reference: DataFrame, current: DataFrame, cols: list[str]) -> DataFrame:
@@ -82,8 +83,8 @@ def positive_rate_drift(reference: DataFrame, current: DataFrame, target_col: st
         (F.coalesce(flag, F.lit(False)) if has_label else F.lit(False)).alias("flagged"))
 
 
-def drift_report(reference: DataFrame, current: DataFrame, target_col: str = "target",
-                 label_col: str = "label") -> DataFrame:
+def drift_report_by_parts(reference: DataFrame, current: DataFrame, target_col: str = "target",
+                          label_col: str = "label") -> DataFrame:
     """Long report: one row per check (3 KS + 2 rate + positive_rate), with
     the batch header (sizes, insufficient_sample) and any_drift repeated."""
     ks = ks_test(reference, current).select(
@@ -117,3 +118,77 @@ def drift_report(reference: DataFrame, current: DataFrame, target_col: str = "ta
         F.col("flagged").cast("int").alias("flagged"), "n_reference", "n_current",
         (F.col("n_current") < C.MIN_BATCH_SIZE).cast("int").alias("insufficient_sample"),
         "any_drift")
+
+
+def drift_counts(reference: DataFrame, current: DataFrame, target_col: str = "target",
+                 label_col: str = "label") -> DataFrame:
+    """One pass over both sides: (side, feature, value, count) for the five
+    features plus the positive-rate column (true target on the reference,
+    predicted label on the current batch). Partial aggregation before the
+    shuffle, and the result is tiny (distinct values only)."""
+    feats = C.NUMERIC_FEATURES + C.RATE_FEATURES
+
+    def side(df, pos, tag):
+        return df.select(*[F.col(f).cast("double").alias(f) for f in feats],
+                         pos.cast("double").alias("positive_rate"), F.lit(tag).alias("_r"))
+
+    ref_pos = F.col(target_col) if target_col in reference.columns else F.lit(None)
+    cur_pos = F.col(label_col) if label_col in current.columns else F.lit(None)
+    both = side(reference, ref_pos, 1).unionByName(side(current, cur_pos, 0))
+    long = both.unpivot(["_r"], feats + ["positive_rate"], "feature", "value")
+    return long.groupBy("_r", "feature", "value").agg(F.count("*").alias("c"))
+
+
+def drift_report(reference: DataFrame, current: DataFrame, target_col: str = "target",
+                 label_col: str = "label") -> DataFrame:
+    """Long report: one row per check (3 KS + 2 rate + positive_rate), with
+    the batch header (sizes, insufficient_sample) and any_drift repeated.
+    Every statistic is derived from one ``drift_counts`` table."""
+    counts = reuse(drift_counts(reference, current, target_col, label_col))
+    c, v, is_ref = F.col("c"), F.col("value"), F.col("_r") == 1
+
+    per_value = counts.where(F.col("feature").isin(C.NUMERIC_FEATURES) & v.isNotNull()).groupBy(
+        "feature", "value").agg(F.sum(F.when(is_ref, c).otherwise(0)).alias("nr"),
+                                F.sum(F.when(~is_ref, c).otherwise(0)).alias("nc"))
+    cum = running_sums(per_value, ["feature"], "value", ["nr", "nc"])
+    gap = F.abs(F.col("cum_nr") / F.col("total_nr") - F.col("cum_nc") / F.col("total_nc"))
+    ks = cum.groupBy("feature").agg(F.first("total_nr").alias("_n1"), F.first("total_nc").alias("_n2"),
+                                    F.max(gap).alias("statistic"))
+    ks = ks.withColumn("p_value", ks_pvalue_udf(F.col("statistic"), F.col("_n1"), F.col("_n2")))
+    ks = ks.select(F.col("feature").alias("check"), F.lit("ks_2samp").alias("test"), "statistic",
+                   "p_value", F.lit(None).cast("double").alias("reference_rate"),
+                   F.lit(None).cast("double").alias("current_rate"),
+                   F.lit(None).cast("double").alias("diff"),
+                   F.coalesce(F.col("p_value") < C.KS_P_VALUE_THRESHOLD, F.lit(False)).alias("flagged"))
+
+    has_label = label_col in current.columns
+    rates = counts.where(F.col("feature").isin(*C.RATE_FEATURES, "positive_rate") & v.isNotNull()).groupBy(
+        "feature").agg((F.sum(F.when(is_ref, c * v)) / F.sum(F.when(is_ref, c))).alias("reference_rate"),
+                       (F.sum(F.when(~is_ref, c * v)) / F.sum(F.when(~is_ref, c))).alias("current_rate"))
+    diff = F.col("current_rate") - F.col("reference_rate")
+    is_pos = F.col("feature") == "positive_rate"
+    threshold = F.when(is_pos, F.lit(C.POSITIVE_RATE_DIFF_THRESHOLD)).otherwise(F.lit(C.RATE_DIFF_THRESHOLD))
+    flag = F.coalesce(F.abs(diff) > threshold, F.lit(False))
+    if not has_label:
+        flag = F.when(is_pos, F.lit(False)).otherwise(flag)
+    rd = rates.select(F.col("feature").alias("check"),
+                      F.when(is_pos, "positive_rate").otherwise("rate_diff").alias("test"),
+                      F.lit(None).cast("double").alias("statistic"),
+                      F.lit(None).cast("double").alias("p_value"),
+                      "reference_rate", "current_rate", diff.alias("diff"), flag.alias("flagged"))
+
+    # sizes: every row contributes one count to each feature (nulls included)
+    sizes = counts.where(F.col("feature") == C.NUMERIC_FEATURES[0]).agg(
+        F.sum(F.when(is_ref, c).otherwise(0)).cast("long").alias("_nr"),
+        F.sum(F.when(~is_ref, c).otherwise(0)).cast("long").alias("_nc"))
+    rows = ks.unionByName(rd).withColumn("_nr", F.lit(None).cast("long")).withColumn(
+        "_nc", F.lit(None).cast("long")).unionByName(sizes, allowMissingColumns=True)
+    w = Window.partitionBy()   # <= 7 report rows
+    spread_ = rows.select(
+        "*", F.max("_nr").over(w).alias("n_reference"), F.max("_nc").over(w).alias("n_current"),
+        F.max(F.col("flagged").cast("int")).over(w).alias("any_drift"))
+    return spread_.where(F.col("check").isNotNull()).select(
+        "check", "test", "statistic", "p_value", "reference_rate", "current_rate", "diff",
+        F.col("flagged").cast("int").alias("flagged"), "n_reference", "n_current",
+        (F.col("n_current") < C.MIN_BATCH_SIZE).cast("int").alias("insufficient_sample"),
+        "any_drift")

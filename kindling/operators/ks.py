@@ -23,27 +23,33 @@ def exact_pvalue(d: float, n1: int, n2: int) -> float:
     a, b = n2 // g, n1 // g          # |i/n1 - j/n2| >= D  <=>  |i*a - j*b| >= h
     h = round(d * (n1 // g) * n2)
     total = n1 + n2
-    # q[i] = probability of being at (i, k - i) without having crossed
-    q = np.zeros(n1 + 1)
+    # q[i] = probability of standing at (i, k - i) on anti-diagonal k without
+    # having crossed; entries off the current diagonal are zero or stale-but-
+    # unused, so each step touches only the live slice [lo, hi].
+    q = np.zeros(n1 + 2)
     q[0] = 1.0
+    i_all = np.arange(n1 + 1, dtype=np.int64)
     outside = 0.0
-    i_all = np.arange(n1 + 1)
     for k in range(1, total + 1):
-        lo_i, hi_i = max(0, k - n2), min(n1, k)
-        i = i_all[lo_i:hi_i + 1]
+        lo, hi = max(0, k - n2), min(n1, k)
+        i = i_all[lo:hi + 1]
         j = k - i
-        rem = total - (k - 1)
-        # step in x from (i-1, j): prob (n1 - (i-1)) / rem ; step in y from (i, j-1): (n2 - (j-1)) / rem
-        from_x = np.where(i >= 1, q[np.maximum(i - 1, 0)] * (n1 - (i - 1)) / rem, 0.0)
-        from_y = np.where(j >= 1, q[i] * (n2 - (j - 1)) / rem, 0.0)
-        from_x = np.where((i - 1) >= max(0, k - 1 - n2), from_x, 0.0)
-        from_y = np.where(i <= min(n1, k - 1), from_y, 0.0)
-        new = from_x + from_y
+        rem = total - k + 1
+        from_x = np.empty(hi - lo + 1)
+        if lo == 0:
+            from_x[0] = 0.0
+            from_x[1:] = q[0:hi] * (n1 - i[1:] + 1)
+        else:
+            from_x[:] = q[lo - 1:hi] * (n1 - i + 1)
+        from_y = q[lo:hi + 1] * (n2 - j + 1)
+        if hi == k:                  # point (k, 0): no step in y leads there
+            from_y[-1] = 0.0
+        new = (from_x + from_y) / rem
         cross = np.abs(i * a - j * b) >= h
-        outside += float(new[cross].sum())
-        new[cross] = 0.0
-        q = np.zeros(n1 + 1)
-        q[lo_i:hi_i + 1] = new
+        if cross.any():
+            outside += float(new[cross].sum())
+            new[cross] = 0.0
+        q[lo:hi + 1] = new
     return min(1.0, max(0.0, outside))
 
 
