@@ -83,43 +83,6 @@ def positive_rate_drift(reference: DataFrame, current: DataFrame, target_col: st
         (F.coalesce(flag, F.lit(False)) if has_label else F.lit(False)).alias("flagged"))
 
 
-def drift_report_by_parts(reference: DataFrame, current: DataFrame, target_col: str = "target",
-                          label_col: str = "label") -> DataFrame:
-    """Long report: one row per check (3 KS + 2 rate + positive_rate), with
-    the batch header (sizes, insufficient_sample) and any_drift repeated."""
-    ks = ks_test(reference, current).select(
-        F.col("feature").alias("check"), F.lit("ks_2samp").alias("test"), "statistic", "p_value",
-        F.lit(None).cast("double").alias("reference_rate"),
-        F.lit(None).cast("double").alias("current_rate"),
-        F.lit(None).cast("double").alias("diff"), "flagged")
-    rd = rate_drift(reference, current).select(
-        F.col("feature").alias("check"), F.lit("rate_diff").alias("test"),
-        F.lit(None).cast("double").alias("statistic"), F.lit(None).cast("double").alias("p_value"),
-        "reference_rate", "current_rate", "diff", "flagged")
-    pr = positive_rate_drift(reference, current, target_col, label_col).select(
-        F.lit("positive_rate").alias("check"), F.lit("positive_rate").alias("test"),
-        F.lit(None).cast("double").alias("statistic"), F.lit(None).cast("double").alias("p_value"),
-        "reference_rate", "current_rate",
-        (F.col("current_rate") - F.col("reference_rate")).alias("diff"), "flagged")
-    sizes = reference.select(F.lit(1).alias("_r")).unionByName(
-        current.select(F.lit(0).alias("_r"))).agg(
-        F.sum("_r").cast("long").alias("_nr"), F.sum(1 - F.col("_r")).cast("long").alias("_nc"))
-    checks = ks.unionByName(rd).unionByName(pr)
-    # header row unioned in and spread by a window over the <= 7 report rows
-    # (no join: a literal-key join would fold into a cross join)
-    rows = checks.withColumn("_nr", F.lit(None).cast("long")).withColumn(
-        "_nc", F.lit(None).cast("long")).unionByName(sizes, allowMissingColumns=True)
-    w = Window.partitionBy()
-    spread_ = rows.select(
-        "*", F.max("_nr").over(w).alias("n_reference"), F.max("_nc").over(w).alias("n_current"),
-        F.max(F.col("flagged").cast("int")).over(w).alias("any_drift"))
-    return spread_.where(F.col("check").isNotNull()).select(
-        "check", "test", "statistic", "p_value", "reference_rate", "current_rate", "diff",
-        F.col("flagged").cast("int").alias("flagged"), "n_reference", "n_current",
-        (F.col("n_current") < C.MIN_BATCH_SIZE).cast("int").alias("insufficient_sample"),
-        "any_drift")
-
-
 def drift_counts(reference: DataFrame, current: DataFrame, target_col: str = "target",
                  label_col: str = "label") -> DataFrame:
     """One pass over both sides: (side, feature, value, count) for the five

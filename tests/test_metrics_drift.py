@@ -146,3 +146,22 @@ def test_running_sums_and_split_without_broadcast(spark, monkeypatch):
     df = spark.createDataFrame([(i, i % 3 == 0 and 1 or 0) for i in range(300)], "id long, target int")
     sizes = stratified_split(df, "id", hex_digits=1).groupBy("split").count().collect()
     assert {r["split"]: r["count"] for r in sizes} == {"train": 210, "val": 45, "test": 45}
+
+
+def test_drift_report_agrees_with_per_check_operators(spark):
+    """The one-pass report equals the separately verified operators."""
+    from tests.conftest import SF001
+    from kindling.plans import queries as q
+    ref, cur = q.drift_sides(spark, SF001)
+    rep = {r["check"]: r for r in drift_report(ref, cur).collect()}
+    for r in ks_statistic(ref, cur).collect():
+        assert rep[r["feature"]]["statistic"] == r["statistic"]
+        assert rep[r["feature"]]["n_reference"] == r["n_reference"]
+        assert rep[r["feature"]]["n_current"] == r["n_current"]
+        assert rep[r["feature"]]["p_value"] == ks_pvalue(r["statistic"], r["n_reference"], r["n_current"])
+    for r in rate_drift(ref, cur).collect():
+        assert rep[r["feature"]]["current_rate"] == r["current_rate"]
+        assert rep[r["feature"]]["flagged"] == int(r["flagged"])
+    p = positive_rate_drift(ref, cur).first()
+    assert rep["positive_rate"]["reference_rate"] == p["reference_rate"]
+    assert rep["positive_rate"]["flagged"] == int(p["flagged"])
