@@ -38,3 +38,12 @@ def test_dedupe_uses_partial_aggregation(spark):
     from kindling.plans import queries as q
     plan = _plan(q.Q["dedupe_labels"](spark, SF001))
     assert "partial_min_by" in plan or "partial_count" in plan
+
+
+def test_spread_only_when_under_partitioned(spark):
+    from kindling.sources.tables import spread
+    want = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread(one, "id").rdd.getNumPartitions() == want
+    many = spark.range(0, 100, 1, want + 2)
+    assert spread(many, "id") is many
