@@ -1,3 +1,5 @@
 """DuckDB SQL of the queries that SQL can express over whole tables."""
+from kindling.llm.lines import OP6_SQL
+from kindling.llm.quality import OP3_SQL
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_quality_rules": OP3_SQL, "op6_line_dedup": OP6_SQL}
