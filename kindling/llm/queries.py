@@ -1,5 +1,6 @@
 """Registered queries of this subpackage: (spark, sf_dir) -> DataFrame."""
 from kindling.llm.decontam import op5_decontamination
+from kindling.llm.html_main import op9_html_extraction
 from kindling.llm.langid import op4_language_id
 from kindling.llm.lines import op6_line_dedup
 from kindling.llm.mixing import op2_mixing
@@ -18,5 +19,6 @@ Q = {
     "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_simhash": op8_simhash,
+    "op9_html_extraction": op9_html_extraction,
     "op10_url_filter": op10_url_filter,
 }
