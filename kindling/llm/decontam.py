@@ -48,7 +48,7 @@ def suffix_array(ids: np.ndarray, bits: int) -> np.ndarray:
     key = ids.astype(np.int64)
     for j in range(1, per):
         key <<= bits
-        key[: n - j] |= ids[j:]
+        key[: max(0, n - j)] |= ids[j:]
     order = np.argsort(key)
     key = key[order]
     new = np.ones(n, bool)
