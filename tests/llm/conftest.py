@@ -1,0 +1,56 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import types as T
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
+SCHEMA = T.StructType([
+    T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
+    T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
+    # names that the operators use for columns of their own
+    T.StructField("fp", T.StringType()), T.StructField("host", T.StringType()), T.StructField("words", T.StringType()),
+    T.StructField("_kept", T.StringType()), T.StructField("size", T.StringType()), T.StructField("a.b", T.StringType())])
+
+LONG = " ".join(f"w{k % 977}x{k % 31}" for k in range(60_000))
+
+EDGE = [
+    (1, "the cat sat on the mat and looked at the dog in the yard for a long time today", "en", "s0"),
+    (2, None, "en", "s0"),
+    (3, "", None, None),
+    (4, " \t\n\x0b\x0c\r ", "en", None),
+    (5, LONG, "en", "s1"),
+    (6, "the cat sat on the mat and looked at the dog in the yard for a long time today", "en", "s1"),
+    (6, "the cat sat on the mat and looked at the dog in the yard for a long time today", "en", "s1"),
+    (None, "the cat sat on the mat and looked at the dog in the yard for a long time tonight", None, "s1"),
+    (None, None, None, None),
+    (7, "🙂 ünïcode ß İ \x00   !!!", "xx", ""),
+    (8, LONG + " end", "en", "s2"),
+]
+
+
+def frame(spark, rows):
+    """Documents with clashing extra columns."""
+    return spark.createDataFrame([(*r, None if r[1] is None else len(r[1]), "f", "h", "w", "k", "z", "ab") for r in rows], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    return frame(spark, EDGE)
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return frame(spark, [])
+
+
+@pytest.fixture
+def docs_of(spark):
+    return lambda rows: frame(spark, rows)
+
+
+@pytest.fixture(scope="session")
+def small(spark):
+    """The smallest driver tables."""
+    return lambda name: spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
