@@ -1,7 +1,9 @@
 """URL filter by the ratio of two character language models, in DataFrame operations only.
 
 Two smoothed variable-order Markov models over the characters of host and path are counted from all
-URLs: one of rejected URLs (a seed word is a part of the host) and one of accepted URLs. A character's
+URLs: one of rejected URLs (a seed word is a part of the host between punctuation) and one of accepted
+URLs (no seed word anywhere in the host). Hosts that hold a seed word within a longer part are examples
+of neither and are only judged. A character's
 probability after its last ``ORDER - 1`` characters falls back on ever shorter contexts:
 p(c | context) = (n(context c) + strength * p(c | shorter context)) / (n(context) + strength).
 A URL's score is the mean over its characters of log p_rejected - log p_accepted. The threshold is
@@ -83,10 +85,12 @@ def model(urls: DataFrame, order: int = ORDER, strength: float = STRENGTH) -> Da
 
 
 def scores(pages: DataFrame, seed_words=SEED_WORDS, order: int = ORDER) -> DataFrame:
-    """(text, rejected, score) of every distinct host and path with a character."""
+    """(text, rejected, score) of every distinct host and path with a character; rejected is null where
+    the URL is an example of neither model."""
     seeds = F.array(*[F.lit(w) for w in seed_words])
-    urls = written(pages.select(F.concat("host", "path").alias("text"),
-                                F.arrays_overlap(F.split("host", r"[^a-z0-9]"), seeds).alias("rejected"))
+    whole = F.arrays_overlap(F.split("host", r"[^a-z0-9]"), seeds)
+    example = F.when(whole, F.lit(True)).when(~F.col("host").rlike("|".join(seed_words)), F.lit(False))
+    urls = written(pages.select(F.concat("host", "path").alias("text"), example.alias("rejected"))
                    .where("text <> ''").groupBy("text").agg(F.max("rejected").alias("rejected")), "url-texts")
     ratios = written(model(urls, order), "url-ratios")
     n = ratios.count()
