@@ -1,0 +1,95 @@
+import numpy as np
+import pytest
+
+from kindling.llm import mixing as M
+
+
+def brute_targets(sizes, weights=(5, 2, 1), most=3):
+    """Share, stop at the limits, reshare the excess by weight until none is above."""
+    names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    total, full = sum(sizes.values()), set()
+    while True:
+        rest = total - sum(most * sizes[s] for s in full)
+        open_weight = sum(weight[s] for s in names if s not in full)
+        got = {s: most * sizes[s] if s in full else rest * weight[s] / open_weight for s in names}
+        above = {s for s in names if s not in full and got[s] > most * sizes[s]}
+        if not above:
+            return got
+        full |= above
+
+
+SIZES = [
+    {"a": 100, "b": 100, "c": 100}, {"a": 1, "b": 1000, "c": 1000, None: 5}, {"a": 10, "B": 2000, "é": 1, "z": 3, "": 7},
+    {"a": 0, "b": 0}, {"a": 0, "b": 9}, {None: 4}, {"a": 1, "b": 1, "c": 10_000, "d": 1, "e": 1, "f": 1}]
+
+
+@pytest.mark.parametrize("sizes", SIZES)
+def test_targets_match_resharing(spark, sizes):
+    df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r.source: r.target for r in M.targets(df).collect()}
+    want = brute_targets(sizes)
+    assert got.keys() == want.keys()
+    assert all(got[s] == pytest.approx(want[s], abs=1e-6) for s in want)
+    assert sum(got.values()) == pytest.approx(sum(sizes.values()))
+
+
+def text(n, tag="w"):
+    return " ".join(f"{tag}{k}" for k in range(n))
+
+
+def test_mix_comes_near_targets_and_within_limits(docs_of):
+    rng = np.random.default_rng(1)
+    rows = [(i, text(int(rng.integers(0, 400))), "en", ["a", "b", "c", None][int(rng.choice(4, p=[.02, .6, .3, .08]))]) for i in range(400)]
+    docs = docs_of(rows)
+    got = M.mix(docs, shard_blocks=32).collect()
+    assert len(got) == 400
+    sizes, taken, target = {}, {}, {}
+    by_id = {r[0]: r for r in rows}
+    for r in got:
+        source = by_id[r.doc_id][3]
+        assert r["size"] == len((by_id[r.doc_id][1] or "").split()) and 0 <= r.taken <= 3 * r["size"]
+        sizes[source] = sizes.get(source, 0) + r["size"]
+        taken[source] = taken.get(source, 0) + r.taken
+        target[source] = r.target
+    want = brute_targets(sizes)
+    for s in sizes:
+        assert target[s] == pytest.approx(want[s])
+        assert abs(taken[s] - want[s]) < 0.03 * want[s] + 2 * M.BLOCK_WORDS
+    again = M.mix(docs, shard_blocks=32).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+
+
+def test_slots_follow_the_permutation_and_pieces_cover_texts(docs_of):
+    rows = [(i, text(50 + i), "en", "ab"[i % 2]) for i in range(40)]
+    placed, parts, slots = M.plan(docs_of(rows), block_words=16, shard_blocks=8)
+    sizes = {}
+    for p in parts.collect():
+        sizes.setdefault(p.sid, {}).setdefault(p.block, 0)
+        sizes[p.sid][p.block] += p.words
+    for blocks in sizes.values():
+        assert sorted(blocks) == list(range(len(blocks)))
+        assert all(blocks[k] == 16 for k in range(len(blocks) - 1))
+    times = {}
+    for s in slots.collect():
+        times.setdefault(s.sid, {}).setdefault(s.block, 0)
+        times[s.sid][s.block] += 1
+    for sid, blocks in sizes.items():
+        n = [times.get(sid, {}).get(k, 0) for k in blocks]
+        assert max(n) - min(n) <= 1  # none is taken again before all have been
+    assert slots.select("sid", "slot").distinct().count() == slots.count()
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 1000, 65537])
+def test_permutation(n):
+    got = M._permuted(np.arange(n), n, 12345)
+    assert sorted(got.tolist()) == list(range(n))
+    assert n < 16 or (got != np.arange(n)).mean() > 0.8
+
+
+def test_edge_cases(edge, empty):
+    got = M.mix(edge).collect()
+    assert len(got) == edge.count()
+    assert all(r.taken == 0 and r["size"] == 0 for r in got if r.doc_id in (2, 3, 4))
+    assert sum(r["size"] for r in got) == sum(len((r.text or "").encode().split()) for r in edge.collect())
+    assert M.mix(empty).count() == 0
