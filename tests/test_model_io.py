@@ -10,12 +10,12 @@ from kindling.operators.tfidf import TfidfModel, vocabulary, weights
 from kindling.plans import jobs as J
 from kindling.streaming.ingest import run_ingestion
 
-TRAIN = [("fire", "massive fire burning through the forest right now", 1),
-         ("fire", "wildfire evacuation orders issued for the whole valley", 1),
-         ("flood", "flood waters rising fast, roads are closed", 1),
-         (None, "lol this traffic jam is a disaster", 0),
-         (None, "what a lovely sunny day for a picnic", 0),
-         (None, "I love this new song so much", 0)]
+TRAIN = [("storm", "a heavy storm took the roof off the school", 1),
+         ("storm", "storm surge cuts the island off, boats needed", 1),
+         ("quake", "strong quake, people sleep outside tonight", 1),
+         (None, "my inbox is an absolute storm of jokes", 0),
+         (None, "baking bread and humming along to records", 0),
+         (None, "the museum cafe has new cake", 0)]
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +30,7 @@ def tiny(spark):
 def test_vocabulary_and_width(spark, tiny):
     model, train = tiny
     terms = model.representation.tfidf.terms
-    assert terms == sorted(terms) and "fire" in terms and "massive fire" in terms
+    assert terms == sorted(terms) and "storm" in terms and "heavy storm" in terms
     assert model.representation.width == len(terms) + 5
     w = weights(train, vocabulary(train, "id", min_df=1), "id")
     norms = w.groupBy("id").agg(F.sum(F.col("weight") ** 2).alias("n")).collect()
@@ -48,7 +48,7 @@ def test_out_of_vocabulary_ignored(spark):
 
 def test_score_columns_and_optional_keyword(spark, tiny):
     model, _ = tiny
-    batch = spark.createDataFrame([(1, "forest fire spreading fast"), (2, "nice song")],
+    batch = spark.createDataFrame([(1, "storm over the island"), (2, "new cake")],
                                   "id long, text string")
     out = model.score(batch)
     assert out.columns == ["id", "text", "probability", "label"]
@@ -58,11 +58,11 @@ def test_score_columns_and_optional_keyword(spark, tiny):
 
 def test_predict_one_and_persistence(spark, tiny, tmp_dir):
     model, _ = tiny
-    one = predict_one(spark, model, "massive fire near the forest", "fire")
+    one = predict_one(spark, model, "heavy storm by the school", "storm")
     assert set(one) == {"label", "probability"}
     path = os.path.join(tmp_dir, "m")
     save_model(spark, model, path)
-    again = predict_one(spark, load_model(spark, path), "massive fire near the forest", "fire")
+    again = predict_one(spark, load_model(spark, path), "heavy storm by the school", "storm")
     assert abs(again["probability"] - one["probability"]) < 1e-12
 
 
