@@ -114,7 +114,7 @@ def chain_length(n: int, max_bits: int) -> int:
         probes = sum(len(ring.flips(i, length)) for i in range(ring.m))
         return n * (ring.m + probes) + probes * float(n) ** 2 / 2.0 ** (length * BITS / ring.m)
 
-    return min(range(1, min(3, ring.m) + 1), key=cost)
+    return min(range(min(2, ring.m), min(3, ring.m) + 1), key=cost)
 
 
 def _points(radius: int) -> list[int]:
