@@ -78,11 +78,12 @@ STAMP_FORMAT = "yyyyMMdd'T'HHmmss'Z'"
 # ---------------------------------------------------------------------------
 # Engine tuning (ours, not reference values)
 # ---------------------------------------------------------------------------
-# Number of monotone buckets used by the distributed prefix sum.
-PREFIX_BUCKETS = 4096
+# Distinct values per bucket of the distributed prefix sum; buckets follow their number.
+PREFIX_BUCKET_ROWS = 100_000
 # Hex digits of md5 used as a uniform bucket for exact ranked cuts.
 RANK_BUCKET_HEX = 4
-# Rows per task when fitting the classifier (one distributed pass per iteration).
-ROWS_PER_FIT_PARTITION = 200_000
-# Upper bound (rows) for any side we broadcast without a runtime size check.
-BROADCAST_ROW_LIMIT = 2_000_000
+# Bytes of written feature vectors per task when fitting the classifier (one
+# distributed pass per iteration).
+FIT_BYTES_PER_PARTITION = 64 << 20
+# Upper bound (bytes, planner's estimate) for a side that we broadcast.
+BROADCAST_BYTES_LIMIT = 8 << 20

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindling.operators.prefix import running_sums, value_at_rank
-from kindling.session import reuse
+from kindling.session import join_null_safe, reuse
 
 
 def class_distribution(df: DataFrame, target_col: str = "target") -> DataFrame:
@@ -72,10 +72,10 @@ def feature_summary(df: DataFrame, features: list[str]) -> DataFrame:
 
 
 def order_statistics(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
-    """avg/min/max and p50/p95/p99 = sorted value at 0-based index
-    floor(q*n) (p99 clamped to n-1), per group."""
-    counts = df.where(F.col(value_col).isNotNull()).groupBy(group_col, value_col).agg(
-        F.count("*").alias("c"))
+    """n/avg/min/max and p50/p95/p99 = sorted value at 0-based index
+    floor(q*n) (p99 clamped to n-1), per group. A group without a value has a
+    row with n = 0 and nulls. One scan: all comes from the value counts."""
+    counts = reuse(df.groupBy(group_col, value_col).agg(F.count("*").alias("c")))
     cum = running_sums(counts, [group_col], value_col, ["c"])
     n = F.col("total_c")
     ranks = {
@@ -84,7 +84,9 @@ def order_statistics(df: DataFrame, group_col: str, value_col: str) -> DataFrame
         "p99": F.least(F.floor(F.lit(0.99) * n), n - 1),
     }
     picked = value_at_rank(cum, [group_col], value_col, "c", ranks)
-    moments = df.groupBy(group_col).agg(
-        F.count(value_col).alias("n"), F.avg(value_col).alias("avg"),
-        F.min(value_col).alias("min"), F.max(value_col).alias("max"))
-    return moments.join(picked, group_col, "inner")
+    v = F.col(value_col)
+    held = F.when(v.isNotNull(), F.col("c")).otherwise(0)
+    moments = counts.groupBy(group_col).agg(
+        F.sum(held).alias("n"), F.try_divide(F.sum(v * F.col("c")), F.sum(held)).alias("avg"),
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    return join_null_safe(moments, picked, [group_col], "left")

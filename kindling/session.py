@@ -1,16 +1,17 @@
 """Spark session helpers.
 
 The engine never owns cluster configuration: on a cluster the session comes
-from the launcher. ``get_spark`` is for local runs and tests only, and
-``checkpoint_dir`` reads the shared folder from the session, setting a
-scratch one only when none is configured (local runs).
+from the launcher. ``get_spark`` is for local runs and tests only.
+Intermediates are tables in the folder named by ``spark.checkpoint.dir``,
+which all executors share; ``clean_up`` deletes those of this process.
 """
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -24,6 +25,9 @@ _LOCAL_CONF = {
     # threshold stays, everything else goes sort-merge.
 }
 
+#: Tables and folders that this process has made in the shared folder.
+_MADE: list[str] = []
+
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "kindling", extra: dict | None = None) -> SparkSession:
@@ -49,8 +53,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to a shared (HDFS/S3/...) path; we
-    only create a local scratch folder when it is unset (tests, laptops).
+    On a cluster it must be set to a shared (HDFS/S3/...) path; only a local
+    session, where driver and executors are one process, gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="kindling-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -66,33 +72,51 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    base = ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + "/" + name
+    path = ensure_checkpoint_dir(spark).rstrip("/") + "/" + name
+    _MADE.append(path)
+    return path
 
 
-def materialize(df, name: str):
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: one job, lineage cut, and the files survive executor loss."""
-    import uuid
     path = work_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
+def clean_up(spark: SparkSession) -> int:
+    """Delete the intermediates of this process; call it when no DataFrame that
+    reads them is still wanted. Returns how many were deleted."""
+    jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _MADE:
+        p = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        n += bool(p.getFileSystem(conf).delete(p, True))
+    return n
 
-def reuse(df):
-    """Keep a small intermediate (pre-aggregated, bounded) that several jobs
-    read. A lost block is recomputed from lineage, so executor loss is safe."""
-    from pyspark import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
+def reuse(df: DataFrame) -> DataFrame:
+    """Keep a pre-aggregated intermediate that several jobs read: a written
+    table, so nothing stays in executor memory and a lost executor costs nothing."""
+    return materialize(df, "reuse")
 
-def broadcast_if_small(df, limit: int | None = None):
-    """Broadcast ``df`` only after checking its size (one count job on a
-    small, usually cached table); beyond the limit, return it unhinted so the
-    planner uses a shuffle join instead."""
+
+def broadcast_if_small(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only if the planner's estimate of its size is at most
+    ``limit`` bytes; beyond that it stays unhinted and a shuffle join is planned."""
     from pyspark.sql import functions as F
 
     from kindling import config as C
-    limit = C.BROADCAST_ROW_LIMIT if limit is None else limit
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
+    limit = C.BROADCAST_BYTES_LIMIT if limit is None else limit
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(size) <= limit else df
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys meet; the key columns of ``left`` are kept."""
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+    renamed = right.select(*[F.col(c).alias(f"_j_{c}" if c in keys else c) for c in right.columns])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_j_{k}")) for k in keys])
+    return left.join(renamed, on, how).drop(*[f"_j_{k}" for k in keys])
