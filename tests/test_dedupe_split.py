@@ -83,3 +83,32 @@ def test_split_matches_rank_restatement(spark):
         for r, i in enumerate(g["id"], start=1):
             exp[i] = "test" if r <= nt else ("val" if r <= nt + nv else "train")
     assert got.to_dict() == exp
+
+
+def test_split_keeps_rows_with_null_ids_and_targets(spark):
+    rows = [(i if i % 10 else None, f"t{i}", None if i % 7 == 0 else i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, text string, target int")
+    got = stratified_split(df, "id", hex_digits=1).toPandas()
+    assert len(got) == 200 and got["split"].value_counts().to_dict() == {"train": 139, "val": 31, "test": 30}
+
+
+def test_split_sizes_in_sql_match_the_rule(spark):
+    from kindling.operators.split import class_cuts
+    for counts in ({0: 4302, 1: 3191}, {0: 1, 1: 1, 2: 1}, {0: 7}, {0: 10, 1: 0, 2: 33, 3: 999}):
+        df = spark.createDataFrame(list(counts.items()), "target int, _c long")
+        got = {r["target"]: (r["_cut1"], r["_cut2"]) for r in class_cuts(df, "target", .15, .15).collect()}
+        assert got == {k: (t, t + v) for k, (t, v, _) in split_sizes(counts).items()}
+
+
+def test_null_order_and_many_targets(spark):
+    df = spark.createDataFrame([(None, "x", 1), (4, "x", 1), (None, "y", 0)] + [(i, "z", i) for i in range(9, 30)],
+                               "id long, text string, target int")
+    out = {r["text"]: r for r in dedupe_labels(df, "id").collect()}
+    assert out["x"]["id"] == 4 and out["y"]["id"] is None and out["y"]["text"] == "y" and "z" not in out
+
+
+def test_dedupe_counts(spark):
+    from kindling.operators.dedupe import dedupe_counts
+    df = _df(spark, ["a", "a", "b", "b", None], [1, 1, 0, 1, 1])
+    assert {r["stage"]: r["n"] for r in dedupe_counts(df, "id").collect()} == {
+        "raw": 5, "distinct_texts": 2, "deduped": 1, "dropped": 1}
