@@ -7,10 +7,10 @@ CDFs come from the distributed running sum (no single-partition window).
 """
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kindling import config as C
 from kindling.operators.ks import ks_pvalue
@@ -25,6 +25,19 @@ def _tagged(reference: DataFrame, current: DataFrame, cols: list[str]) -> DataFr
     return ref.unionByName(cur)
 
 
+def _ks_from_counts(per_value: DataFrame, features: list[str]) -> DataFrame:
+    """(feature, n_reference, n_current, statistic): a row for every feature, the
+    statistic null if a side has no value."""
+    cum = running_sums(per_value, ["feature"], "value", ["nr", "nc"])
+    gap = F.abs(F.try_divide(F.col("cum_nr"), F.col("total_nr")) - F.try_divide(F.col("cum_nc"), F.col("total_nc")))
+    found = cum.groupBy("feature").agg(F.first("total_nr").alias("n_reference"), F.first("total_nc").alias("n_current"),
+                                       F.max(gap).alias("statistic"))
+    wanted = per_value.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    return wanted.join(found, "feature", "left").select(
+        "feature", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("n_reference", "n_current")],
+        F.col("statistic").cast("double").alias("statistic"))
+
+
 def ks_statistic(reference: DataFrame, current: DataFrame,
                  features: list[str] = C.NUMERIC_FEATURES) -> DataFrame:
     """(feature, n_reference, n_current, statistic) - sup |F_ref - F_cur|."""
@@ -32,25 +45,7 @@ def ks_statistic(reference: DataFrame, current: DataFrame,
         F.col("value").isNotNull())
     per_value = long.groupBy("feature", "value").agg(
         F.sum("_r").cast("long").alias("nr"), F.sum(1 - F.col("_r")).cast("long").alias("nc"))
-    cum = running_sums(per_value, ["feature"], "value", ["nr", "nc"])
-    gap = F.abs(F.col("cum_nr") / F.col("total_nr") - F.col("cum_nc") / F.col("total_nc"))
-    return cum.groupBy("feature").agg(
-        F.first("total_nr").alias("n_reference"), F.first("total_nc").alias("n_current"),
-        F.max(gap).alias("statistic"))
-
-
-@F.pandas_udf(T.DoubleType())
-def ks_pvalue_udf(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-    return pd.Series([ks_pvalue(a, b, c) for a, b, c in zip(d, n1, n2)], dtype="float64")
-
-
-def ks_test(reference: DataFrame, current: DataFrame,
-            features: list[str] = C.NUMERIC_FEATURES) -> DataFrame:
-    """KS statistic + p-value + flag (p < 0.05) per feature (one row each)."""
-    ks = ks_statistic(reference, current, features)
-    p = ks_pvalue_udf(F.col("statistic"), F.col("n_reference"), F.col("n_current"))
-    return ks.withColumn("p_value", p).withColumn(
-        "flagged", F.coalesce(F.col("p_value") < C.KS_P_VALUE_THRESHOLD, F.lit(False)))
+    return _ks_from_counts(per_value, features)
 
 
 def rate_drift(reference: DataFrame, current: DataFrame,
@@ -102,56 +97,63 @@ def drift_counts(reference: DataFrame, current: DataFrame, target_col: str = "ta
     return long.groupBy("_r", "feature", "value").agg(F.count("*").alias("c"))
 
 
+REPORT_SCHEMA = (
+    "check string, test string, statistic double, p_value double, reference_rate double, current_rate double, diff double, "
+    "flagged int, n_reference long, n_current long, insufficient_sample int, any_drift int")
+
+
 def drift_report(reference: DataFrame, current: DataFrame, target_col: str = "target",
                  label_col: str = "label") -> DataFrame:
-    """Long report: one row per check (3 KS + 2 rate + positive_rate), with
-    the batch header (sizes, insufficient_sample) and any_drift repeated.
-    Every statistic is derived from one ``drift_counts`` table."""
+    """Report: always the six checks (3 KS, 2 rates, positive_rate), with the
+    batch header (sizes, insufficient_sample) and any_drift repeated. A check
+    without data on a side has nulls and no flag. Every statistic comes from one
+    ``drift_counts`` table; its seven summary rows come to the driver, which
+    finishes the p-values, so no task needs this package."""
+    spark = reference.sparkSession
     counts = reuse(drift_counts(reference, current, target_col, label_col))
     c, v, is_ref = F.col("c"), F.col("value"), F.col("_r") == 1
 
     per_value = counts.where(F.col("feature").isin(C.NUMERIC_FEATURES) & v.isNotNull()).groupBy(
         "feature", "value").agg(F.sum(F.when(is_ref, c).otherwise(0)).alias("nr"),
                                 F.sum(F.when(~is_ref, c).otherwise(0)).alias("nc"))
-    cum = running_sums(per_value, ["feature"], "value", ["nr", "nc"])
-    gap = F.abs(F.col("cum_nr") / F.col("total_nr") - F.col("cum_nc") / F.col("total_nc"))
-    ks = cum.groupBy("feature").agg(F.first("total_nr").alias("_n1"), F.first("total_nc").alias("_n2"),
-                                    F.max(gap).alias("statistic"))
-    ks = ks.withColumn("p_value", ks_pvalue_udf(F.col("statistic"), F.col("_n1"), F.col("_n2")))
-    ks = ks.select(F.col("feature").alias("check"), F.lit("ks_2samp").alias("test"), "statistic",
-                   "p_value", F.lit(None).cast("double").alias("reference_rate"),
-                   F.lit(None).cast("double").alias("current_rate"),
-                   F.lit(None).cast("double").alias("diff"),
-                   F.coalesce(F.col("p_value") < C.KS_P_VALUE_THRESHOLD, F.lit(False)).alias("flagged"))
-
-    has_label = label_col in current.columns
-    rates = counts.where(F.col("feature").isin(*C.RATE_FEATURES, "positive_rate") & v.isNotNull()).groupBy(
-        "feature").agg((F.sum(F.when(is_ref, c * v)) / F.sum(F.when(is_ref, c))).alias("reference_rate"),
-                       (F.sum(F.when(~is_ref, c * v)) / F.sum(F.when(~is_ref, c))).alias("current_rate"))
-    diff = F.col("current_rate") - F.col("reference_rate")
-    is_pos = F.col("feature") == "positive_rate"
-    threshold = F.when(is_pos, F.lit(C.POSITIVE_RATE_DIFF_THRESHOLD)).otherwise(F.lit(C.RATE_DIFF_THRESHOLD))
-    flag = F.coalesce(F.abs(diff) > threshold, F.lit(False))
-    if not has_label:
-        flag = F.when(is_pos, F.lit(False)).otherwise(flag)
-    rd = rates.select(F.col("feature").alias("check"),
-                      F.when(is_pos, "positive_rate").otherwise("rate_diff").alias("test"),
-                      F.lit(None).cast("double").alias("statistic"),
-                      F.lit(None).cast("double").alias("p_value"),
-                      "reference_rate", "current_rate", diff.alias("diff"), flag.alias("flagged"))
-
-    # sizes: every row contributes one count to each feature (nulls included)
-    sizes = counts.where(F.col("feature") == C.NUMERIC_FEATURES[0]).agg(
-        F.sum(F.when(is_ref, c).otherwise(0)).cast("long").alias("_nr"),
-        F.sum(F.when(~is_ref, c).otherwise(0)).cast("long").alias("_nc"))
-    rows = ks.unionByName(rd).withColumn("_nr", F.lit(None).cast("long")).withColumn(
-        "_nc", F.lit(None).cast("long")).unionByName(sizes, allowMissingColumns=True)
-    w = Window.partitionBy()   # <= 7 report rows
-    spread_ = rows.select(
-        "*", F.max("_nr").over(w).alias("n_reference"), F.max("_nc").over(w).alias("n_current"),
-        F.max(F.col("flagged").cast("int")).over(w).alias("any_drift"))
-    return spread_.where(F.col("check").isNotNull()).select(
-        "check", "test", "statistic", "p_value", "reference_rate", "current_rate", "diff",
-        F.col("flagged").cast("int").alias("flagged"), "n_reference", "n_current",
-        (F.col("n_current") < C.MIN_BATCH_SIZE).cast("int").alias("insufficient_sample"),
-        "any_drift")
+    ks = {r["feature"]: r for r in _ks_from_counts(per_value, C.NUMERIC_FEATURES).collect()}
+
+    def mean(side):
+        return F.try_divide(F.sum(F.when(side & v.isNotNull(), c * v)), F.sum(F.when(side & v.isNotNull(), c)))
+
+    sizes = counts.groupBy("feature").agg(
+        mean(is_ref).alias("ref"), mean(~is_ref).alias("cur"), F.sum(F.when(is_ref, c).otherwise(0)).alias("nr"),
+        F.sum(F.when(~is_ref, c).otherwise(0)).alias("nc"))
+    rates = {r["feature"]: r for r in sizes.collect()}
+    head = rates.get(C.NUMERIC_FEATURES[0])   # nulls are counted: every row has one value of each feature
+    n_ref, n_cur = (int(head["nr"]), int(head["nc"])) if head else (0, 0)
+
+    rows = []
+    for f in C.NUMERIC_FEATURES:
+        p = ks_pvalue(ks[f]["statistic"], ks[f]["n_reference"], ks[f]["n_current"])
+        p = None if math.isnan(p) else p
+        rows.append((f, "ks_2samp", ks[f]["statistic"], p, None, None, None, p is not None and p < C.KS_P_VALUE_THRESHOLD))
+    for f in [*C.RATE_FEATURES, "positive_rate"]:
+        ref, cur = (rates[f]["ref"], rates[f]["cur"]) if f in rates else (None, None)
+        diff = None if ref is None or cur is None else cur - ref
+        limit = C.POSITIVE_RATE_DIFF_THRESHOLD if f == "positive_rate" else C.RATE_DIFF_THRESHOLD
+        rows.append((f, "positive_rate" if f == "positive_rate" else "rate_diff", None, None, ref, cur, diff,
+                     diff is not None and abs(diff) > limit))
+    any_drift = int(any(r[-1] for r in rows))
+    return spark.createDataFrame(
+        [(*r[:-1], int(r[-1]), n_ref, n_cur, int(n_cur < C.MIN_BATCH_SIZE), any_drift) for r in rows], REPORT_SCHEMA).coalesce(1)
+
+
+def report_document(report: DataFrame) -> dict:
+    """The report as one document: header, ``feature_flags`` by feature, positive rate."""
+    rows = {r["check"]: r for r in report.collect()}   # six rows
+    head, flags = rows["positive_rate"], {}
+    for f in C.NUMERIC_FEATURES:
+        flags[f] = {k: rows[f][k] for k in ("test", "statistic", "p_value")} | {"flagged": bool(rows[f]["flagged"])}
+    for f in C.RATE_FEATURES:
+        flags[f] = {k: rows[f][k] for k in ("test", "reference_rate", "current_rate", "diff")} | {"flagged": bool(rows[f]["flagged"])}
+    scored = head["current_rate"] is not None   # an unscored batch has no positive rate on either side
+    return {"n_reference": head["n_reference"], "n_current": head["n_current"],
+            "insufficient_sample": bool(head["insufficient_sample"]), "feature_flags": flags,
+            "positive_rate_reference": head["reference_rate"] if scored else None,
+            "positive_rate_current": head["current_rate"], "positive_rate_flagged": bool(head["flagged"])}

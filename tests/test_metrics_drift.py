@@ -132,11 +132,11 @@ def test_insufficient_sample_and_positive_rate(spark):
 
 
 def test_running_sums_and_split_without_broadcast(spark, monkeypatch):
-    """Above the broadcast row limit the offsets join falls back to a shuffle
+    """Above the broadcast limit the offsets join falls back to a shuffle
     join; results must not change."""
     from kindling import config
     from kindling.operators.split import stratified_split
-    monkeypatch.setattr(config, "BROADCAST_ROW_LIMIT", 1)
+    monkeypatch.setattr(config, "BROADCAST_BYTES_LIMIT", 0)
     rng = np.random.default_rng(5)
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 500), "v": rng.random(500), "w": rng.integers(0, 5, 500)})
     pdf = pdf.groupby(["g", "v"], as_index=False)["w"].sum()
@@ -165,3 +165,39 @@ def test_drift_report_agrees_with_per_check_operators(spark):
     p = positive_rate_drift(ref, cur).first()
     assert rep["positive_rate"]["reference_rate"] == p["reference_rate"]
     assert rep["positive_rate"]["flagged"] == int(p["flagged"])
+
+
+def test_ks_pvalue_is_continuous_above_the_exact_range():
+    from kindling.operators.ks import _one_sample_exact, _one_sample_series, _one_sided, one_sample_sf
+    a, b = ks_pvalue(0.246, 10_000, 30), ks_pvalue(0.246, 10_001, 30)
+    assert abs(a - b) < 0.002 and (a < 0.05) == (b < 0.05)
+    for n, d in ((9_000, 0.01), (9_000, 0.012), (9_000, 0.018)):
+        assert abs(_one_sample_exact(d, n) - _one_sample_series(d, n)) < 1e-5
+    assert abs(_one_sample_exact(0.2, 100) - 2 * _one_sided(0.2, 100)) < 1e-9
+    assert abs(_one_sample_exact(0.274, 10) - (1 - 0.6284796154565043)) < 1e-9      # published worked example
+    assert one_sample_sf(0.0, 5) == 1.0 and one_sample_sf(1.0, 5) == 0.0
+    assert ks_pvalue(0.05, 10**9, 10**9) == 0.0
+
+
+def test_drift_with_an_empty_or_null_side(spark):
+    ref = spark.createDataFrame(_ref(seed=1).assign(target=1))
+    none = ref.drop("target").where("false")
+    rep = {r["check"]: r for r in drift_report(ref, none).collect()}
+    assert set(rep) == {*C.NUMERIC_FEATURES, *C.RATE_FEATURES, "positive_rate"}
+    assert not any(r["flagged"] for r in rep.values()) and rep["word_count"]["n_current"] == 0
+    assert rep["word_count"]["statistic"] is None and rep["word_count"]["p_value"] is None
+    nulls = ref.drop("target").withColumn("word_count", F.lit(None).cast("int"))
+    rep = {r["check"]: r for r in drift_report(ref, nulls).collect()}
+    assert rep["word_count"]["statistic"] is None and rep["hashtag_count"]["statistic"] == 0.0
+    assert rep["word_count"]["n_current"] == 200
+    assert {r["feature"]: r["statistic"] for r in ks_statistic(ref, nulls).collect()}["word_count"] is None
+    assert len(drift_report(ref.drop("target"), ref.drop("target")).collect()) == 6
+
+
+def test_order_statistics_and_sums_keep_null_groups(spark):
+    from kindling.operators.summary import order_statistics
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 2.0), (None, 4.0), ("n", None)], "g string, v double")
+    got = {r["g"]: r for r in order_statistics(df, "g", "v").collect()}
+    assert set(got) == {"a", None, "n"}
+    assert got[None]["n"] == 2 and got[None]["p50"] == 4.0 and got["a"]["avg"] == 2.0
+    assert got["n"]["n"] == 0 and got["n"]["avg"] is None and got["n"]["p50"] is None
