@@ -28,10 +28,11 @@ def _html_unescape(s: pd.Series) -> pd.Series:
 
 def html_unescape(c: "Column | str") -> Column:
     """Decode HTML entities (full HTML5 table, numeric references, and the
-    legacy prefix forms without ``;``). Rows with no ``&`` skip the UDF: they
-    are masked to null before the Arrow transfer and restored afterwards."""
+    legacy prefix forms without ``;``). Rows without an ``&`` before ``#`` or
+    a letter skip the UDF: they are masked to null before the Arrow transfer
+    and restored afterwards."""
     c = _col(c)
-    return F.coalesce(_html_unescape(F.when(c.contains("&"), c)), c)
+    return F.coalesce(_html_unescape(F.when(c.rlike("&[#A-Za-z]"), c)), c)
 
 
 def fix_mojibake(c: "Column | str") -> Column:

@@ -26,19 +26,45 @@ from kindling.operators import features as fe
 from kindling.operators.embed import l2_normalize
 from kindling.operators.scaler import Scaler
 from kindling.operators.tfidf import TfidfModel, vocabulary
+from kindling.session import materialize
 
 SCALED = [f"scaled_{f}" for f in C.FEATURE_COLUMNS]
 
 
+def decided(z, p) -> list:
+    """Output columns of a score: prediction = decision > 0 (used for metrics),
+    label = probability >= 0.5."""
+    return [p.alias("probability"), (z > 0).cast("int").alias("prediction"),
+            (p >= C.DECISION_THRESHOLD).cast("int").alias("label")]
+
+
 def linear_score(df: DataFrame, weights: dict[str, float], intercept: float) -> DataFrame:
-    """Fixed-weight logistic scoring: probability = sigmoid(b + sum w*x);
-    prediction = decision > 0 (used for metrics), label = probability >= 0.5."""
+    """Fixed-weight logistic scoring: probability = sigmoid(b + sum w*x)."""
     z = F.lit(float(intercept))
     for c, w in weights.items():
         z = z + F.lit(float(w)) * F.col(c).cast("double")
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
-    return df.select("*", p.alias("probability"), (z > 0).cast("int").alias("prediction"),
-                     (p >= C.DECISION_THRESHOLD).cast("int").alias("label"))
+    return df.select("*", *decided(z, p))
+
+
+@dataclass
+class LinearClassifier:
+    """Fixed weights over the five features, in the classifier's place: scoring
+    jobs with it can be checked exactly."""
+    weights: dict[str, float]
+    intercept: float
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return linear_score(df, self.weights, self.intercept)
+
+
+@dataclass
+class PlainFeatures:
+    """Representation that adds nothing to the five features."""
+    name: str = "fixed_weights"
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return df
 
 
 # ---------------------------------------------------------------------------
@@ -111,33 +137,67 @@ class TriageModel:
     representation: object
     classifier: LogisticRegressionModel
     meta: dict = field(default_factory=dict)
+    #: Score rows that already carry features without cleaning them again.
+    trust_features: bool = False
 
     def score(self, df: DataFrame, keep_prediction: bool = False) -> DataFrame:
         """Original columns + probability + label (existing ones replaced)."""
         original = [c for c in df.columns if c not in ("probability", "label", "prediction")]
         # carry the original columns through under private names
         tagged = df.select("*", *[F.col(c).alias(f"_o_{c}") for c in original])
-        feat = fe.build_features(tagged)
+        feat = fe.ensure_features(tagged) if self.trust_features else fe.build_features(tagged)
         scored = self.classifier.transform(self.representation.transform(feat))
-        p = vector_to_array("probability").getItem(1)
         cols = [F.col(f"_o_{c}").alias(c) for c in original]
-        cols += [p.alias("probability"), (p >= C.DECISION_THRESHOLD).cast("int").alias("label")]
+        if isinstance(self.classifier, LinearClassifier):
+            probability, prediction, label = (F.col(c) for c in ("probability", "prediction", "label"))
+        else:
+            p = vector_to_array("probability").getItem(1)
+            z = vector_to_array("rawPrediction").getItem(1)
+            probability, prediction, label = decided(z, p)
+        cols += [probability.alias("probability"), label.alias("label")]
         if keep_prediction:
-            cols.append(F.col("prediction").cast("int").alias("prediction"))
+            cols.append(prediction.alias("prediction"))
         return scored.select(*cols)
 
 
 def fit(representation, train: DataFrame, target_col: str = "target", id_col: str = "id") -> TriageModel:
+    """Fit the representation, write the training vectors once in parallel, then
+    run L-BFGS over that table. Its tasks follow the written bytes (one distributed
+    pass per iteration); cleaning and vectorising keep the input's parallelism."""
+    spark = train.sparkSession
     representation.fit(train, id_col)
-    n_train = train.count()
-    data = representation.transform(train.withColumn("_y", F.col(target_col).cast("double")))
-    # L-BFGS runs one distributed pass per iteration; size the input so each
-    # task holds ~ROWS_PER_FIT_PARTITION rows (narrow coalesce, no shuffle)
-    want = max(1, -(-n_train // C.ROWS_PER_FIT_PARTITION))
-    if data.rdd.getNumPartitions() > want:
-        data = data.coalesce(want)
+    vectors = materialize(representation.transform(train).select(
+        F.col(target_col).cast("double").alias("_y"), "features"), "fit-vectors")
+    n_train = vectors.count()   # from the file footers
+    size = int(vectors._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    want = max(1, -(-size // C.FIT_BYTES_PER_PARTITION))
+    data = vectors.coalesce(want) if vectors.rdd.getNumPartitions() > want else vectors
     clf = make_classifier(n_train).fit(data)
-    return TriageModel(representation, clf, {"n_train": n_train, "name": representation.name})
+    history = list(clf.summary.objectiveHistory) if clf.hasSummary else []
+    meta = {"n_train": n_train, "name": representation.name, "iterations": max(0, len(history) - 1)}
+    return TriageModel(representation, clf, meta)
+
+
+def gradient_norm(model: TriageModel, train: DataFrame, target_col: str = "target") -> DataFrame:
+    """(n, max_gradient): largest partial derivative of the mean penalised loss at
+    the model's coefficients. It vanishes at the minimum of this convex objective."""
+    rows = model.representation.transform(model_features(train)).select(
+        F.col(target_col).cast("double").alias("_y"), "features")
+    scored = model.classifier.transform(rows)
+    residual = vector_to_array("probability").getItem(1) - F.col("_y")
+    entries = scored.select(residual.alias("r"), F.posexplode(vector_to_array("features")).alias("i", "x")).where("x <> 0")
+    sums = entries.groupBy("i").agg(F.sum(F.col("r") * F.col("x")).alias("g"))
+    n = train.count()
+    coefficients = train.sparkSession.createDataFrame(
+        [(k, float(w)) for k, w in enumerate(model.classifier.coefficients.toArray())], "i int, w double")
+    slopes = coefficients.join(sums, "i", "left").select(
+        (F.coalesce(F.col("g"), F.lit(0.0)) / n + F.col("w") * (C.LR_C / n)).alias("g"))
+    intercept = scored.agg((F.sum(residual) / n).alias("g"))
+    return slopes.unionByName(intercept).agg(F.lit(n).cast("long").alias("n"), F.max(F.abs("g")).alias("max_gradient"))
+
+
+def model_features(df: DataFrame) -> DataFrame:
+    return fe.ensure_features(df)
 
 
 def predict_one(spark: SparkSession, model: TriageModel, text: str, keyword: str | None = None) -> dict:
@@ -169,7 +229,51 @@ def save_model(spark: SparkSession, model: TriageModel, path: str) -> str:
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The version that ``root/CURRENT`` names, None without that file."""
+    p, fs = _file_system(spark, f"{root}/CURRENT")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        jvm = spark.sparkContext._jvm
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def point_to(spark: SparkSession, root: str, version: str) -> None:
+    """Make ``version`` the current one: a new pointer file replaces the old one
+    after the version is complete, so a failure leaves one or the other."""
+    new, fs = _file_system(spark, f"{root}/CURRENT.{version}")
+    stream = fs.create(new, True)
+    stream.write(bytearray(version.encode()))
+    stream.close()
+    now, _ = _file_system(spark, f"{root}/CURRENT")
+    if fs.exists(now):
+        fs.delete(now, False)
+    if not fs.rename(new, now):
+        raise OSError(f"can't move the pointer of {root} to {version}")
+
+
+def resolved(spark: SparkSession, root: str) -> str:
+    """The folder of the current version, or ``root`` itself if it has no versions.
+    Without a pointer the newest pointer that was being put in place counts."""
+    version = current_version(spark, root)
+    if version is None and path_exists(spark, root):
+        p, fs = _file_system(spark, root)
+        left = sorted(str(s.getPath().getName()) for s in fs.listStatus(p) if str(s.getPath().getName()).startswith("CURRENT."))
+        version = left[-1].removeprefix("CURRENT.") if left else None
+    return f"{root}/versions/{version}" if version else root
+
+
 def load_model(spark: SparkSession, path: str) -> TriageModel:
+    path = resolved(spark, path)
     if not path_exists(spark, f"{path}/meta"):
         raise FileNotFoundError(
             f"no model at {path} - train one first (kindling.plans.jobs.train_baseline)")

@@ -5,15 +5,16 @@ only ``path`` selected, so contents are never loaded by the source). The
 source checkpoint is the exactly-once record of consumed files: a rerun with
 ``availableNow`` yields nothing new. Each micro-batch (``foreachBatch``):
 
-  1. sniffs headers and reads files by header group (CSV matches columns by
-     position under a fixed schema, so this is required for correctness);
-  2. files without a ``text`` column go to the rejects table;
+  1. reads each file's header and reads files by header group (CSV matches
+     columns by position under a fixed schema, so this is required);
+  2. files without a ``text`` column, and malformed rows, go to the rejects;
   3. scores rows with the shared scoring path (same as batch / single text);
-  4. writes the scored rows partitioned by ``source_file`` under a
-     ``batch_id`` folder with overwrite - a replayed batch rewrites the same
-     folder, so the sink is idempotent;
-  5. appends per-file (rows, flagged) counts and, optionally, moves the
-     consumed files to ``processed_dir`` (after the output is written).
+  4. writes scored rows, per-file (rows, flagged) counts, rejects and the list
+     of consumed files, each under a ``batch_id`` folder with overwrite - a
+     replayed batch rewrites the same folders, so every output is idempotent.
+
+Consumed files are moved to ``processed_dir`` only after the micro-batch is
+committed; until then a replay finds them in place.
 """
 from __future__ import annotations
 
@@ -22,75 +23,117 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kindling import config as C
-from kindling.sources.files import read_csvs
+from kindling.operators.model import path_exists
+from kindling.sources.files import REJECTED_ROWS, read_csvs
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+READ_BACK = {"header": "true", "multiLine": "true", "escape": '"'}
 
 
 def _move(spark: SparkSession, path: str, target_dir: str) -> None:
+    """Move a file; one that an earlier run has moved already is left alone."""
     jvm = spark.sparkContext._jvm
     src = jvm.org.apache.hadoop.fs.Path(path)
     fs = src.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(src):
+        return
     dst_dir = jvm.org.apache.hadoop.fs.Path(target_dir)
     fs.mkdirs(dst_dir)
-    fs.rename(src, jvm.org.apache.hadoop.fs.Path(dst_dir, src.getName()))
+    if not fs.rename(src, jvm.org.apache.hadoop.fs.Path(dst_dir, src.getName())):
+        raise OSError(f"can't move {path} to {target_dir}")
 
 
-def score_files(spark: SparkSession, paths: list[str], model) -> tuple[DataFrame | None, list]:
-    rows, rejects = read_csvs(spark, paths, required="text")
-    if rows is None:
-        return None, rejects
-    return model.score(rows), rejects
+def score_files(spark: SparkSession, paths: list[str], model) -> tuple[DataFrame | None, list, DataFrame]:
+    rows, rejects, bad = read_csvs(spark, paths, required="text")
+    return (None if rows is None else model.score(rows)), rejects, bad
 
 
-def make_batch_writer(model, triaged_dir: str, rejects_dir: str, summary_dir: str,
-                      processed_dir: str | None = None):
+def make_batch_writer(model, triaged_dir: str, rejects_dir: str, summary_dir: str, consumed_dir: str):
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # file paths only: bounded by maxFilesPerTrigger
         paths = sorted(r["path"] for r in batch.select("path").collect())
         if not paths:
             return
-        scored, rejects = score_files(spark, paths, model)
+        scored, rejects, bad = score_files(spark, paths, model)
         stamp = F.date_format(F.current_timestamp(), C.STAMP_FORMAT)
-        if rejects:
-            spark.createDataFrame(rejects, "path string, reason string").withColumn(
-                "batch_id", F.lit(batch_id)).write.mode("append").parquet(rejects_dir)
+        here = f"batch_id={batch_id}"
+        files = spark.createDataFrame([(p, r, None) for p, r in rejects], REJECTED_ROWS)
+        bad.unionByName(files).write.mode("overwrite").parquet(f"{rejects_dir}/{here}")
         if scored is not None:
             out = scored.withColumn("run_ts", stamp).withColumn(
                 "source_file", F.regexp_replace("source_file", r"\.csv$", ""))
             out.write.mode("overwrite").partitionBy("source_file").option("header", "true") \
-                .option("escape", '"').csv(f"{triaged_dir}/batch_id={batch_id}")
-            written = spark.read.option("header", "true").option("multiLine", "true") \
-                .option("escape", '"').csv(f"{triaged_dir}/batch_id={batch_id}")
+                .option("escape", '"').csv(f"{triaged_dir}/{here}")
+            written = spark.read.options(**READ_BACK).csv(f"{triaged_dir}/{here}")
             (written.groupBy("source_file").agg(
                 F.count("*").alias("n"), F.sum(F.col("label").cast("int")).cast("long").alias("n_flagged"))
-             .withColumn("batch_id", F.lit(batch_id)).withColumn("run_ts", stamp)
-             .write.mode("append").parquet(summary_dir))
-        if processed_dir:
-            rejected = {p for p, _ in rejects}
-            for p in paths:
-                if p not in rejected:
-                    _move(spark, p, processed_dir)
+             .withColumn("run_ts", stamp)
+             .withColumn("output", F.concat(F.lit(f"{triaged_dir}/{here}/source_file="), "source_file"))
+             .write.mode("overwrite").parquet(f"{summary_dir}/{here}"))
+        rejected = {p for p, _ in rejects}
+        spark.createDataFrame([(p,) for p in paths if p not in rejected], "path string").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{consumed_dir}/{here}")
     return process
 
 
+def _dirs(triaged_dir: str, rejects_dir: str | None, summary_dir: str | None) -> tuple[str, str, str]:
+    return rejects_dir or f"{triaged_dir}_rejects", summary_dir or f"{triaged_dir}_summary", f"{triaged_dir}_consumed"
+
+
 def start_ingest(spark: SparkSession, incoming_dir: str, triaged_dir: str, checkpoint_dir: str,
-                 model, processed_dir: str | None = None, rejects_dir: str | None = None,
-                 summary_dir: str | None = None, max_files_per_trigger: int = 1000,
-                 available_now: bool = True) -> StreamingQuery:
+                 model, rejects_dir: str | None = None, summary_dir: str | None = None,
+                 max_files_per_trigger: int = 1000, available_now: bool = True) -> StreamingQuery:
     paths = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
              .option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", max_files_per_trigger)
              .load(incoming_dir).select("path"))
-    writer = make_batch_writer(model, triaged_dir, rejects_dir or f"{triaged_dir}_rejects",
-                               summary_dir or f"{triaged_dir}_summary", processed_dir)
+    writer = make_batch_writer(model, triaged_dir, *_dirs(triaged_dir, rejects_dir, summary_dir))
     w = paths.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
+def _batches(spark: SparkSession, folder: str) -> set[int]:
+    if not path_exists(spark, folder):
+        return set()
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    names = [str(s.getPath().getName()) for s in
+             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+    return {int(n.partition("=")[2]) for n in names if n.startswith("batch_id=")}
+
+
+def move_consumed(spark: SparkSession, triaged_dir: str, processed_dir: str, batches: set[int]) -> None:
+    """Move the files of committed micro-batches out of the incoming folder."""
+    for k in sorted(batches):
+        for r in spark.read.parquet(f"{triaged_dir}_consumed/batch_id={k}").collect():   # paths of one batch
+            _move(spark, r["path"], processed_dir)
+
+
 def run_ingestion(spark: SparkSession, incoming_dir: str, triaged_dir: str, checkpoint_dir: str,
-                  model, **kw) -> None:
-    """One availableNow run: consume everything new, then stop."""
-    q = start_ingest(spark, incoming_dir, triaged_dir, checkpoint_dir, model, **kw)
+                  model, processed_dir: str | None = None, rejects_dir: str | None = None,
+                  summary_dir: str | None = None, **kw) -> list[dict]:
+    """One availableNow run: consume everything new, then stop. Returns one entry
+    per scored file of this run: source_file, output, n, n_flagged."""
+    _, summaries, consumed = _dirs(triaged_dir, rejects_dir, summary_dir)
+    before = _committed(spark, checkpoint_dir)
+    q = start_ingest(spark, incoming_dir, triaged_dir, checkpoint_dir, model, rejects_dir, summary_dir, **kw)
     q.awaitTermination()
+    done = _committed(spark, checkpoint_dir)
+    if processed_dir:   # all committed batches: a crash may have kept an earlier run from moving
+        move_consumed(spark, triaged_dir, processed_dir, done & _batches(spark, consumed))
+    out = []
+    for k in sorted((done - before) & _batches(spark, summaries)):
+        rows = spark.read.parquet(f"{summaries}/batch_id={k}").orderBy("source_file").collect()   # files of one batch
+        out += [{c: r[c] for c in ("source_file", "output", "n", "n_flagged")} for r in rows]
+    return out
+
+
+def _committed(spark: SparkSession, checkpoint_dir: str) -> set[int]:
+    """Micro-batches that the stream's checkpoint holds as committed."""
+    folder = f"{checkpoint_dir}/commits"
+    if not path_exists(spark, folder):
+        return set()
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    names = [str(s.getPath().getName()) for s in
+             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+    return {int(n) for n in names if n.isdigit()}

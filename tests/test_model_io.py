@@ -81,32 +81,61 @@ def test_ingest_scores_moves_skips_and_is_idempotent(spark, tiny, tmp_dir):
     inc, proc, tri, ck = (os.path.join(tmp_dir, d) for d in ("incoming", "processed", "triaged", "ck"))
     os.makedirs(inc)
     _write(os.path.join(inc, "batch_a.csv"),
-           'id,keyword,text\n1,fire,"forest fire,\nspreading"\n2,,nice song\n')
+           'id,keyword,text\n1,fire,"storm surge,\nrising"\n2,,new cake\n')
     _write(os.path.join(inc, "batch_b.csv"), 'text,id\n"reordered ""quoted"" text",7\n')
     _write(os.path.join(inc, "bad.csv"), "not_text\nhello\n")
-    run_ingestion(spark, inc, tri, ck, model, processed_dir=proc)
+    done = run_ingestion(spark, inc, tri, ck, model, processed_dir=proc)
+    assert [(d["source_file"], d["n"]) for d in done] == [("batch_a", 2), ("batch_b", 1)]
     out = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(tri)
     rows = {r["id"]: r for r in out.collect()}
     assert set(rows) == {"1", "2", "7"}
-    assert rows["1"]["text"] == "forest fire,\nspreading"
+    assert rows["1"]["text"] == "storm surge,\nrising"
     assert rows["7"]["text"] == 'reordered "quoted" text'
     assert sorted(os.listdir(proc)) == ["batch_a.csv", "batch_b.csv"]
     assert os.path.exists(os.path.join(inc, "bad.csv"))
     rejects = spark.read.parquet(tri + "_rejects").collect()
-    assert len(rejects) == 1 and rejects[0]["path"].endswith("bad.csv")
-    run_ingestion(spark, inc, tri, ck, model, processed_dir=proc)     # nothing new
+    assert len(rejects) == 1 and rejects[0]["source_file"].endswith("bad.csv")
+    assert run_ingestion(spark, inc, tri, ck, model, processed_dir=proc) == []     # nothing new
     again = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(tri)
     assert again.count() == 3
 
 
+def test_a_replayed_batch_changes_nothing(spark, tiny, tmp_dir):
+    from kindling.streaming.ingest import _move, make_batch_writer, move_consumed
+    model, _ = tiny
+    inc, tri, proc = (os.path.join(tmp_dir, d) for d in ("in", "tri", "proc"))
+    os.makedirs(inc)
+    _write(os.path.join(inc, "a.csv"), "id,text\nabc,new cake\n2\n")
+    _write(os.path.join(inc, "b.csv"), "nothing\n1\n")
+    batch = spark.createDataFrame([(os.path.join(inc, f),) for f in ("a.csv", "b.csv")], "path string")
+    process = make_batch_writer(model, tri, tri + "_rejects", tri + "_summary", tri + "_consumed")
+
+    def outputs():
+        return (sorted(map(tuple, spark.read.parquet(tri + "_rejects").collect()), key=repr),
+                [(r["source_file"], r["n"]) for r in spark.read.parquet(tri + "_summary").collect()],
+                [r["id"] for r in spark.read.option("header", "true").csv(tri).collect()])
+
+    process(batch, 0)
+    first = outputs()
+    assert len(first[0]) == 2 and first[1] == [("a", 1)] and first[2] == ["abc"]
+    process(batch, 0)                                     # failed before its commit: nothing has moved
+    assert outputs() == first
+    move_consumed(spark, tri, proc, {0})
+    assert os.listdir(proc) == ["a.csv"] and os.path.exists(os.path.join(inc, "b.csv"))
+    move_consumed(spark, tri, proc, {0})                  # already moved
+    _write(os.path.join(proc, "z.csv"), "x")
+    _move(spark, os.path.join(inc, "gone.csv"), proc)
+    assert outputs() == first
+
+
 def _splits(spark):
     rows = [(i, None, t, y, s) for i, (t, y, s) in enumerate([
-        ("massive fire in the forest", 1, "train"), ("fire crews battle the forest blaze", 1, "train"),
-        ("flood waters rising", 1, "train"), ("flood closes the roads", 1, "train"),
-        ("lovely sunny day", 0, "train"), ("new song is great", 0, "train"),
-        ("sunny day at the park", 0, "train"), ("great song today", 0, "train"),
-        ("forest fire spreading", 1, "val"), ("great sunny song", 0, "val"),
-        ("flood in the forest", 1, "test"), ("park day lovely", 0, "test")])]
+        ("storm hits the coast hard", 1, "train"), ("crews clear the coast road after the storm", 1, "train"),
+        ("quake shakes the town", 1, "train"), ("town hall cracked by the quake", 1, "train"),
+        ("warm bread from the oven", 0, "train"), ("old records are back", 0, "train"),
+        ("bread and records at home", 0, "train"), ("home baked cake", 0, "train"),
+        ("storm moves to town", 1, "val"), ("cake and records", 0, "val"),
+        ("quake near the coast", 1, "test"), ("home with warm bread", 0, "test")])]
     df = spark.createDataFrame(rows, "id long, keyword string, text string, target int, split string")
     return fe.build_features(df)
 
@@ -116,22 +145,40 @@ def _retrain(spark, base, batches):
                            f"{base}/archive", f"{base}/cand")
 
 
+def _publish(base, f1):
+    """Current metrics as an indented document in a file."""
+    import json
+    import shutil
+    path = f"{base}/metrics/b"
+    if os.path.isdir(path):
+        shutil.rmtree(path)
+    with open(path, "w") as f:
+        json.dump({"val": {"f1": 0.5}, "test": {"f1": f1}}, f, indent=2)
+
+
 def test_retrain_promote_keep_archive(spark, tmp_dir):
-    new = spark.createDataFrame([(100, None, "massive fire in the forest", 0)],
+    from kindling.operators.model import current_version
+    new = spark.createDataFrame([(100, None, "storm hits the coast hard", 0), (101, None, "a new text", 1)],
                                 "id long, keyword string, text string, target int")
     base = os.path.join(tmp_dir, "r")
     s1, _ = _retrain(spark, base, [new])                 # no current metrics -> promote
     assert s1["promoted"] and s1["current_f1"] is None
-    spark.createDataFrame([('{"test": {"f1": 0.999}}',)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(f"{base}/metrics/b")
+    assert (s1["n_train"], s1["n_new"], s1["n_pool"]) == (8, 2, 8)     # a tie drops one text, one is new
+    assert current_version(spark, f"{base}/models/b") == s1["version"]
+    load_model(spark, f"{base}/models/b")
+    _publish(base, 0.999)
     s2, _ = _retrain(spark, base, [new])
-    assert not s2["promoted"] and os.listdir(f"{base}/cand")
-    spark.createDataFrame([('{"test": {"f1": 0.0}}',)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(f"{base}/metrics/b")
+    assert not s2["promoted"] and os.listdir(f"{base}/cand") and not os.path.exists(f"{base}/archive")
+    assert current_version(spark, f"{base}/models/b") == s1["version"]
+    _publish(base, 0.0)
     s3, _ = _retrain(spark, base, [new])
-    assert s3["promoted"] == (s3["new_f1"] >= 0.01)
-    if s3["promoted"]:
-        assert os.listdir(f"{base}/archive/models") and os.listdir(f"{base}/archive/metrics")
+    assert s3["promoted"] == (s3["new_f1"] >= 0.01) and s3["promoted"]
+    assert current_version(spark, f"{base}/models/b") == s3["version"] != s1["version"]
+    assert os.listdir(f"{base}/archive/models") and os.listdir(f"{base}/archive/metrics")
+    load_model(spark, f"{base}/archive/models/" + os.listdir(f"{base}/archive/models")[0])
+    _publish(base, None)
+    with pytest.raises(ValueError):                      # unreadable metrics don't open the gate
+        _retrain(spark, base, [new])
 
 
 def test_expanded_train_tie_drops_text(spark):
@@ -147,7 +194,7 @@ def test_streaming_prediction_log(spark, tiny, tmp_dir):
     from kindling.streaming.prediction_log import read_log, start_log_stream
     model, _ = tiny
     req = os.path.join(tmp_dir, "requests")
-    spark.createDataFrame([(1, "forest fire", "fire"), (2, "nice song", None)],
+    spark.createDataFrame([(1, "storm surge", "storm"), (2, "new cake", None)],
                           "id long, text string, keyword string").write.parquet(req)
     stream = spark.readStream.schema("id long, text string, keyword string").parquet(req)
     q = start_log_stream(model.score(stream), os.path.join(tmp_dir, "log"),
