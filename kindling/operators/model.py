@@ -185,17 +185,28 @@ def gradient_norm(model: TriageModel, train: DataFrame, target_col: str = "targe
         F.col(target_col).cast("double").alias("_y"), "features")
     scored = model.classifier.transform(rows)
     residual = vector_to_array("probability").getItem(1) - F.col("_y")
-    entries = scored.select(residual.alias("r"), F.posexplode(vector_to_array("features")).alias("i", "x")).where("x <> 0")
-    sums = entries.groupBy("i").agg(F.sum(F.col("r") * F.col("x")).alias("g"))
+    sums = vector_entries(scored.withColumn("r", residual), "r", "features").groupBy("idx").agg(
+        F.sum(F.col("r") * F.col("value")).alias("g"))
     n = train.count()
     coefficients = train.sparkSession.createDataFrame(
-        [(k, float(w)) for k, w in enumerate(model.classifier.coefficients.toArray())], "i int, w double")
-    slopes = coefficients.join(sums, "i", "left").select(
+        [(k, float(w)) for k, w in enumerate(model.classifier.coefficients.toArray())], "idx int, w double")
+    slopes = coefficients.join(sums, "idx", "left").select(
         (F.coalesce(F.col("g"), F.lit(0.0)) / n + F.col("w") * (C.LR_C / n)).alias("g"))
     intercept = scored.agg((F.sum(residual) / n).alias("g"))
     return slopes.unionByName(intercept).agg(F.lit(n).cast("long").alias("n"), F.max(F.abs("g")).alias("max_gradient"))
 
 
+def vector_entries(df: DataFrame, key: str, vector: str) -> DataFrame:
+    """(key, idx, value): non-zero entries of a vector column. Spark has no
+    expression for a sparse vector's entries, hence the small row function."""
+    @F.udf("array<struct<idx:int,value:double>>")
+    def entries(v):
+        found = zip(v.indices, v.values) if hasattr(v, "indices") else enumerate(v.toArray())
+        return [(int(i), float(x)) for i, x in found if x]
+
+    return df.select(key, F.explode(entries(vector)).alias("_e")).select(key, "_e.idx", "_e.value")
+
+
 def model_features(df: DataFrame) -> DataFrame:
     return fe.ensure_features(df)
 

@@ -5,6 +5,8 @@ are the RE2 spellings of the same Unicode sets as ``kindling.config``.
 """
 from __future__ import annotations
 
+from kindling.config import MOJIBAKE_REPLACEMENTS
+
 # FIXED VALUES: RE2 spellings of the shared character classes.
 WS = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]"
 NWS = r"[^\s\p{Z}\x0b\x1c-\x1f\x{85}]"
@@ -43,16 +45,8 @@ def clean_sql(col: str) -> str:
     """clean_text in SQL. Entity decoding is the nested replace of the only
     entity present in the derived views (``&amp;``), exact on this data."""
     c = f"coalesce({col}, '')"
-    for bad, good in [
-        ("chr(137) || chr(219) || chr(170)", "''''"),
-        ("chr(137) || chr(219) || chr(207)", "'\"'"),
-        ("chr(137) || chr(219) || chr(247)", "''''"),
-        ("chr(137) || chr(219) || chr(157)", "'\"'"),
-        ("chr(137) || chr(219) || chr(210)", "'\"'"),
-        ("chr(137) || chr(219) || chr(211)", "'\"'"),
-        ("chr(137) || chr(219) || '_'", "'...'"),
-        ("chr(229) || chr(202)", "'-'"),
-    ]:
+    for bad, good in MOJIBAKE_REPLACEMENTS:
+        bad, good = (" || ".join(f"chr({ord(x)})" for x in y) for y in (bad, good))
         c = f"replace({c}, {bad}, {good})"
     c = f"replace({c}, '&amp;', '&')"
     c = f"regexp_replace({c}, '{LATIN1}', '', 'g')"
@@ -362,10 +356,11 @@ FROM mb b JOIN mc c USING (split) WHERE split = 'test'"""
 # ---------------------------------------------------------------------------
 # drift
 # ---------------------------------------------------------------------------
-DRIFT = with_(MSG, LAB, LAB_FEAT, UNLAB_FEAT, scored_cte("batch", "unlabf", BW, BI)) + ""
+REF = "\nref AS (SELECT * FROM splitted WHERE split = 'train')"
+DRIFT = with_(MSG, LAB, LAB_FEAT, SPLIT, REF, UNLAB_FEAT, scored_cte("batch", "unlabf", BW, BI)) + ""
 NUM = ["word_count", "hashtag_count", "mention_count"]
 RATE = ["has_url", "has_keyword"]
-TAGGED = ("(SELECT *, 1 AS r FROM (SELECT word_count, has_url, hashtag_count, mention_count, has_keyword FROM labf) "
+TAGGED = ("(SELECT *, 1 AS r FROM (SELECT word_count, has_url, hashtag_count, mention_count, has_keyword FROM ref) "
           "UNION ALL SELECT *, 0 AS r FROM (SELECT word_count, has_url, hashtag_count, mention_count, "
           "has_keyword FROM batch))")
 
@@ -391,7 +386,7 @@ SELECT feature, round(reference_rate, 6) AS reference_rate, round(current_rate,
 FROM rt"""
 
 SQL["positive_rate_drift"] = DRIFT + """
-, pr AS (SELECT (SELECT avg(CAST(target AS DOUBLE)) FROM labf) AS reference_rate,
+, pr AS (SELECT (SELECT avg(CAST(target AS DOUBLE)) FROM ref) AS reference_rate,
                 (SELECT avg(CAST(label AS DOUBLE)) FROM batch) AS current_rate)
 SELECT round(reference_rate, 6) AS reference_rate, round(current_rate, 6) AS current_rate,
        CAST(coalesce(abs(current_rate - reference_rate) > CAST(0.15 AS DOUBLE), false) AS INTEGER) AS flagged
@@ -421,4 +416,52 @@ SQL["expanded_train"] = with_(MSG, LAB, LAB_FEAT, SPLIT, UNLAB, POOL,
 SQL["row_counts"] = with_(DUP, dedupe_sql("dup", ["id", "text", "source", "target"])) + """
 SELECT 'raw' AS stage, count(*) AS n FROM dup
 UNION ALL SELECT 'distinct_texts' AS stage, count(DISTINCT text) AS n FROM dup
-UNION ALL SELECT 'deduped' AS stage, count(*) AS n FROM deduped"""
+UNION ALL SELECT 'deduped' AS stage, count(*) AS n FROM deduped
+UNION ALL SELECT 'dropped' AS stage, (SELECT count(DISTINCT text) FROM dup) - (SELECT count(*) FROM deduped) AS n"""
+
+# ---------------------------------------------------------------------------
+# drift report, candidate, training, gate, streams
+# ---------------------------------------------------------------------------
+
+
+def _part(key: str, name: str) -> str:
+    """A finished twin as a CTE of its own."""
+    return f"\n{name} AS ({SQL[key]})"
+
+
+SQL["drift_report"] = with_(_part("ks_statistic", "k"), _part("rate_drift", "r"), _part("positive_rate_drift", "p"),
+                            MSG, LAB, LAB_FEAT, SPLIT, REF, UNLAB) + """,
+s AS (SELECT (SELECT count(*) FROM ref) AS n_reference, (SELECT count(*) FROM unlab) AS n_current),
+u AS (
+SELECT feature AS "check", 'ks_2samp' AS test, statistic, NULL::DOUBLE AS reference_rate, NULL::DOUBLE AS current_rate,
+       NULL::DOUBLE AS diff, NULL::INTEGER AS rate_flagged FROM k
+UNION ALL SELECT feature, 'rate_diff', NULL, reference_rate, current_rate, diff, flagged FROM r
+UNION ALL SELECT 'positive_rate', 'positive_rate', NULL, reference_rate, current_rate, NULL, flagged FROM p)
+SELECT "check", test, statistic, reference_rate, current_rate,
+       CASE WHEN test = 'positive_rate' THEN (SELECT round(avg(CAST(label AS DOUBLE)) - (SELECT avg(CAST(target AS DOUBLE)) FROM ref), 6)
+         FROM (""" + SQL["score_fixed_weights"] + """)) ELSE diff END AS diff,
+       rate_flagged, n_reference, n_current, CAST(n_current < 30 AS INTEGER) AS insufficient_sample
+FROM u, s"""
+
+SQL["candidate_split_counts"] = BASE_SPLIT + """
+SELECT split, target, count(embedding) AS n
+FROM splitted JOIN embeddings ON id % (SELECT count(*) FROM embeddings) = vec_id GROUP BY split, target"""
+
+# the objective is convex: its gradient vanishes at the minimum alone
+SQL["train_gradient"] = BASE_SPLIT + "SELECT count(*) AS n, CAST(1 AS INTEGER) AS converged FROM splitted WHERE split = 'train'"
+
+SQL["feature_matrix"] = with_(_part("tfidf_weights", "w"), _part("scaled_features", "f"), _part("vocabulary", "v")) + """
+SELECT id, idx, weight AS value FROM w WHERE weight <> 0 UNION ALL
+""" + " UNION ALL ".join(
+    f"SELECT id, CAST((SELECT count(*) FROM v) + {k} AS INTEGER) AS idx, scaled_{f} AS value FROM f WHERE scaled_{f} <> 0"
+    for k, f in enumerate(FEATS))
+
+SQL["promotion_gate"] = SCORED + """
+SELECT round(b.f1, 6) AS current_f1, round(c.f1, 6) AS new_f1,
+       CAST((c.f1 - b.f1) >= CAST(0.01 AS DOUBLE) AS INTEGER) AS promoted
+FROM mb b JOIN mc c USING (split) WHERE split = 'test'"""
+
+SQL["ingest_stream"] = BATCH + "SELECT id, nullif(keyword, '') AS keyword, text, round(probability, 6) AS probability, label FROM batch"
+SQL["prediction_log"] = BATCH + (
+    "SELECT text, keyword, CAST(label AS BIGINT) AS label, round(probability, 6) AS probability, "
+    "'fixed_weights' AS model_name FROM batch")

@@ -7,6 +7,7 @@ compare value for value with DuckDB.
 """
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +16,13 @@ from pyspark.sql import functions as F
 from kindling import config as C
 from kindling.functions import text as tx
 from kindling.operators import features as fe
-from kindling.operators.dedupe import dedupe_labels
+from kindling.operators.dedupe import dedupe_counts, dedupe_labels
 from kindling.operators.drift import drift_report, ks_statistic, positive_rate_drift, rate_drift
 from kindling.operators.embed import l2_normalize
 from kindling.operators.metrics import (compare, confusion, metrics_by_split, metrics_long,
                                         roc_auc, verdict)
-from kindling.operators.model import linear_score
+from kindling.operators.model import (BaselineRepresentation, LinearClassifier, PlainFeatures, TriageModel, fit,
+                                      gradient_norm, linear_score, vector_entries)
 from kindling.operators.retrain import expanded_train, union_with_order
 from kindling.operators.scaler import Scaler, scaler_stats
 from kindling.operators.split import order_key, stratified_split
@@ -29,11 +31,15 @@ from kindling.operators.tfidf import term_counts, vocabulary, weights
 from kindling.plans import jobs as J
 from kindling.plans import views as V
 from kindling.session import materialize, work_dir
-from kindling.streaming.ingest import run_ingestion
+from kindling.sources.files import read_metrics
+from kindling.streaming.ingest import READ_BACK, WRITE_CSV, run_ingestion
 from kindling.streaming.prediction_log import read_log, start_log_stream
 
 Q = {}
 
+#: Largest partial derivative of the mean loss that counts as converged.
+MAX_GRADIENT = 1e-3
+
 
 def register(name):
     def deco(fn):
@@ -313,7 +319,8 @@ def q_promotion_verdict(spark, sf):
 # drift (D1-D8)
 # ---------------------------------------------------------------------------
 def drift_sides(spark, sf):
-    return labelled_features(spark, sf), scored_batch(spark, sf)
+    """The reference is the train split, as a monitor job has it."""
+    return train_rows(spark, sf), scored_batch(spark, sf)
 
 
 @register("ks_statistic")
@@ -344,8 +351,12 @@ def q_positive_rate_drift(spark, sf):
 
 @register("drift_report")
 def q_drift_report(spark, sf):
+    """All but the p-values and what follows from them, which tests check."""
     ref, cur = drift_sides(spark, sf)
-    return drift_report(ref, cur)
+    r = drift_report(ref, cur)
+    return r.select("check", "test", *[r6(F.col(c)).alias(c) for c in ("statistic", "reference_rate", "current_rate", "diff")],
+                    F.when(F.col("test") != "ks_2samp", F.col("flagged")).alias("rate_flagged"),
+                    "n_reference", "n_current", "insufficient_sample")
 
 
 # ---------------------------------------------------------------------------
@@ -384,40 +395,85 @@ def frozen_split(spark, sf) -> DataFrame:
     return materialize(labelled_split(spark, sf), "splits")
 
 
-_TRAINED: dict = {}
+@register("train_and_score")
+def q_train_and_score(spark, sf):
+    _, metrics = J.train_baseline(spark, frozen_split(spark, sf))
+    return metrics.select("model", "split", "metric", r6(F.col("value")).alias("value"))
 
 
-def trained_baseline(spark, sf):
-    """Train the baseline once per (session, data folder) and reuse it, as a
-    service loads its model once: (model, metrics long table)."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _TRAINED:
-        model, metrics = J.train_baseline(spark, frozen_split(spark, sf))
-        _TRAINED[key] = (model, materialize(metrics, "baseline-metrics"))
-    return _TRAINED[key]
+@register("train_gradient")
+def q_train_gradient(spark, sf):
+    """The objective's gradient at the fitted coefficients vanishes."""
+    train = frozen_split(spark, sf).where(F.col("split") == "train").drop("split")
+    model = fit(BaselineRepresentation(), train)
+    g = gradient_norm(model, train)
+    return g.select("n", (F.col("max_gradient") < MAX_GRADIENT).cast("int").alias("converged"))
 
 
-@register("train_and_score")
-def q_train_and_score(spark, sf):
-    _, metrics = trained_baseline(spark, sf)
-    return metrics.select("model", "split", "metric", r6(F.col("value")).alias("value"))
+@register("feature_matrix")
+def q_feature_matrix(spark, sf):
+    """(id, idx, value): non-zero entries of the baseline's feature vectors."""
+    split = frozen_split(spark, sf)
+    rep = BaselineRepresentation().fit(split.where(F.col("split") == "train"))
+    return vector_entries(rep.transform(split), "id", "features").select("id", "idx", r6(F.col("value")).alias("value"))
+
+
+def with_vectors(spark, sf) -> DataFrame:
+    """The frozen split, each row with the vector whose id is the row's id modulo
+    the number of vectors; a row without one is an error."""
+    emb = V.vec(spark, sf).select(F.col("id").alias("_vec"), "embedding")
+    split = frozen_split(spark, sf)
+    bound = materialize(split.join(emb, (F.col("id") % F.lit(emb.count())) == F.col("_vec"), "left").drop("_vec"), "candidate-split")
+    lost = bound.where(F.col("embedding").isNull()).count()
+    if lost or bound.count() != split.count():
+        raise ValueError(f"{lost} labelled rows have no vector of their own")
+    return bound
+
+
+@register("candidate_split_counts")
+def q_candidate_split_counts(spark, sf):
+    return with_vectors(spark, sf).groupBy("split", "target").agg(F.count("embedding").alias("n"))
 
 
 @register("candidate_train_and_score")
 def q_candidate_train_and_score(spark, sf):
-    emb = V.vec(spark, sf).select("id", "embedding")
-    split = frozen_split(spark, sf).join(emb, "id", "inner")
-    _, metrics = J.train_candidate(spark, split)
+    _, metrics = J.train_candidate(spark, with_vectors(spark, sf))
     return metrics.select("model", "split", "metric", r6(F.col("value")).alias("value"))
 
 
+def _indented(spark, metrics: dict, path: str) -> str:
+    """A metrics document as a person writes it."""
+    doc = json.dumps(metrics, indent=2)
+    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
+
+
+@register("promotion_gate")
+def q_promotion_gate(spark, sf):
+    """Metrics of two fixed scorers written as documents, read back and gated."""
+    base = work_dir(spark, f"gate-{uuid.uuid4().hex}")
+    split = frozen_split(spark, sf)
+    J.write_metrics(metrics_long(_metrics(spark, sf, "candidate", split), "candidate"), f"{base}/new")
+    rows = metrics_long(_metrics(spark, sf, "baseline", split), "baseline").collect()   # 15 numbers
+    current = {}
+    for r in rows:
+        current.setdefault(r["split"], {})[r["metric"]] = r["value"]
+    now = _indented(spark, current, f"{base}/current")
+    got = J.gate(spark, read_metrics(spark, f"{base}/new"), read_metrics(spark, now))
+    return spark.createDataFrame([(got["current_f1"], got["new_f1"], int(got["promoted"]))],
+                                 "current_f1 double, new_f1 double, promoted int").select(
+        r6(F.col("current_f1")).alias("current_f1"), r6(F.col("new_f1")).alias("new_f1"), "promoted")
+
+
 @register("retrain_cycle")
 def q_retrain_cycle(spark, sf):
+    """A cycle against current metrics that any useful model beats by the margin."""
     base = work_dir(spark, f"retrain-{uuid.uuid4().hex}")
     split = frozen_split(spark, sf)
+    now = _indented(spark, {"val": {"f1": 0.0}, "test": {"f1": 0.0}}, f"{base}/metrics/baseline")
     summary, metrics = J.retrain_cycle(
         spark, split, [new_label_batch(spark, sf)], model_path=f"{base}/models/baseline",
-        metrics_path=f"{base}/metrics/baseline", archive_dir=f"{base}/archive",
+        metrics_path=now, archive_dir=f"{base}/archive",
         candidate_metrics_dir=f"{base}/metrics/retrain_candidates")
     return metrics.select("model", "split", "metric", r6(F.col("value")).alias("value"),
                           F.lit(summary["promoted"]).cast("int").alias("promoted"))
@@ -426,43 +482,41 @@ def q_retrain_cycle(spark, sf):
 def _incoming_batch(spark, sf, folder: str, n_files: int = 4) -> None:
     """Drop the unlabelled messages as CSV files (with embedded newlines)."""
     u = V.unlabelled(spark, sf).select("id", "keyword", "text")
-    u.repartition(n_files, "id").write.mode("overwrite").option("header", "true") \
-        .option("escape", '"').csv(folder)
+    u.repartition(n_files, "id").write.mode("overwrite").options(**WRITE_CSV).csv(folder)
 
 
-def _baseline_model(spark, sf):
-    return trained_baseline(spark, sf)[0]
+def fixed_model() -> TriageModel:
+    """The fixed scorer behind the scoring path of all jobs, so that they have SQL twins."""
+    return TriageModel(PlainFeatures(), LinearClassifier(BASELINE_WEIGHTS, BASELINE_INTERCEPT), {"name": "fixed_weights"})
 
 
 @register("ingest_stream")
 def q_ingest_stream(spark, sf):
     base = work_dir(spark, f"ingest-{uuid.uuid4().hex}")
     _incoming_batch(spark, sf, f"{base}/incoming")
-    model = _baseline_model(spark, sf)
-    run_ingestion(spark, f"{base}/incoming", f"{base}/triaged", f"{base}/_checkpoint", model)
-    return spark.read.option("header", "true").option("multiLine", "true").option("escape", '"') \
-        .csv(f"{base}/triaged").select("id", "keyword", "text", "probability", "label")
+    done = run_ingestion(spark, f"{base}/incoming", f"{base}/triaged", f"{base}/_checkpoint", fixed_model())
+    if sum(d["n"] for d in done) != spark.read.options(**READ_BACK).csv(f"{base}/triaged").count():
+        raise ValueError("the run's summary and its outputs differ")
+    return spark.read.options(**READ_BACK).csv(f"{base}/triaged").select(
+        F.col("id").cast("long").alias("id"), "keyword", "text",
+        r6(F.col("probability").cast("double")).alias("probability"), F.col("label").cast("int").alias("label"))
 
 
 @register("prediction_log")
 def q_prediction_log(spark, sf):
+    """The log's rows without their time."""
     base = work_dir(spark, f"plog-{uuid.uuid4().hex}")
-    model = _baseline_model(spark, sf)
+    model = fixed_model()
     V.unlabelled(spark, sf).write.mode("overwrite").parquet(f"{base}/requests")
     stream = spark.readStream.schema("id long, keyword string, text string, source string, lang string") \
         .parquet(f"{base}/requests")
-    q = start_log_stream(model.score(stream), f"{base}/log", f"{base}/_checkpoint",
-                         model.meta.get("name", "baseline_tfidf"))
+    q = start_log_stream(model.score(stream), f"{base}/log", f"{base}/_checkpoint", model.meta["name"])
     q.awaitTermination()
-    return read_log(spark, f"{base}/log")
+    return read_log(spark, f"{base}/log").where(F.col("timestamp").isNotNull()).select(
+        "text", "keyword", "label", r6(F.col("probability")).alias("probability"), "model_name")
 
 
 @register("row_counts")
 def q_row_counts(spark, sf):
-    """Rows in, distinct texts, rows kept after dedupe (dropped = the rest)."""
-    d = V.dup(spark, sf)
-    raw = d.agg(F.count("*").alias("n")).select(F.lit("raw").alias("stage"), "n")
-    texts = d.agg(F.count_distinct("text").alias("n")).select(F.lit("distinct_texts").alias("stage"), "n")
-    kept = dedupe_labels(d, order_col="id").agg(F.count("*").alias("n")).select(
-        F.lit("deduped").alias("stage"), "n")
-    return raw.unionByName(texts).unionByName(kept)
+    """Rows in, distinct texts, rows kept after dedupe, texts dropped: one pass."""
+    return dedupe_counts(V.dup(spark, sf), order_col="id")

@@ -28,6 +28,8 @@ from kindling.sources.files import REJECTED_ROWS, read_csvs
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 READ_BACK = {"header": "true", "multiLine": "true", "escape": '"'}
+# cells keep the white space around them
+WRITE_CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def _move(spark: SparkSession, path: str, target_dir: str) -> None:
@@ -63,8 +65,7 @@ def make_batch_writer(model, triaged_dir: str, rejects_dir: str, summary_dir: st
         if scored is not None:
             out = scored.withColumn("run_ts", stamp).withColumn(
                 "source_file", F.regexp_replace("source_file", r"\.csv$", ""))
-            out.write.mode("overwrite").partitionBy("source_file").option("header", "true") \
-                .option("escape", '"').csv(f"{triaged_dir}/{here}")
+            out.write.mode("overwrite").partitionBy("source_file").options(**WRITE_CSV).csv(f"{triaged_dir}/{here}")
             written = spark.read.options(**READ_BACK).csv(f"{triaged_dir}/{here}")
             (written.groupBy("source_file").agg(
                 F.count("*").alias("n"), F.sum(F.col("label").cast("int")).cast("long").alias("n_flagged"))
