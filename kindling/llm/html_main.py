@@ -305,6 +305,7 @@ def templates(pages: DataFrame, bundle_pages: int = BUNDLE_PAGES, min_share: flo
     trees = pages.select("host", "html").mapInArrow(
         _skeletons, "host string, sig long, parents array<int>, labels array<long>, texts array<long>, paths array<long>")
     dealt = trees.join(hosts, "host").withColumn("bundle", F.pmod("sig", "bundles")).drop("bundles")
+    dealt = dealt.repartition("host", "bundle")  # the join's dealing by host alone would keep a host's bundles together
     votes = (dealt.groupBy("host", "bundle").applyInArrow(_votes, "host string, path long, text long, n long")
              .groupBy("host", "path", "text").agg(F.sum("n").alias("n")))
     votes = written(votes, "wrapper-votes")

@@ -33,8 +33,9 @@ STEPS, STEPS_AFTER = 8, 4
 PENALTY = 0.5
 FOLDS = 5
 UNKNOWN = "und"
-#: The pipeline rejects documents whose main language has a lower proportion.
-MIN_SCORE = 0.5
+#: The pipeline rejects documents whose main language has a lower proportion. A text of two or three
+#: languages is kept; only one spread over more goes.
+MIN_SCORE = 0.3
 
 
 def _letters(text):

@@ -39,8 +39,9 @@ STOP_WORDS = {
 RULES = {
     "mean_word_length": ("word_chars", "n_words", 2.0, 14.0),
     "symbols_per_word": ("n_symbols", "n_words", None, 0.1),
-    "stop_word_share": ("n_stop_words", "n_words", 0.02, None),
-    "duplicate_line_share": ("n_dup_lines", "n_lines", None, 0.3),
+    "words_per_stop_word": ("n_words", "n_stop_words_and_one", None, 30.0),
+    "doubled_word_share": ("n_doubled_words", "n_words", None, 0.2),
+    "duplicate_line_share": ("n_dup_lines", "n_lines", None, 0.5),
 }
 
 
@@ -66,7 +67,8 @@ def _repeat_words(n, ranked):
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW_WORDS) -> DataFrame:
-    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_words)."""
+    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_stop_words_and_one,
+    n_doubled_words); the last counts words equal to the word before them."""
     stops = F.array(*[F.lit(w) for w in sorted({w for ws in STOP_WORDS.values() for w in ws})])
     n = F.size("words")
     starts = F.when(n >= window, F.sequence(F.lit(1), n - (window - 1))).otherwise(F.array().cast("array<int>"))
@@ -75,14 +77,16 @@ def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("lines").cast("long").alias("n_lines"),
-        F.size(F.filter("words", lambda w: F.array_contains(stops, F.lower(w)))).cast("long").alias("n_stop_words"),
+        (F.size(F.filter("words", lambda w: F.array_contains(stops, F.lower(w)))) + 1).cast("long").alias("n_stop_words_and_one"),
+        F.size(F.filter(F.zip_with("words", F.slice("words", 2, F.greatest(n, F.lit(1))), lambda a, b: a == b),
+                        lambda x: F.coalesce(x, F.lit(False)))).cast("long").alias("n_doubled_words"),
         F.sort_array(F.transform(starts, lambda i: F.struct(
             F.xxhash64(*[F.col("words")[i - 1 + k] for k in range(window)]).alias("h"), i.alias("i")))).alias("ranked"))
     at = counted.select(*[c for c in counted.columns if c != "ranked"], _repeat_words(F.col("n_words"), F.col("ranked")).alias("at"))
     covered = F.aggregate(F.zip_with("at", F.slice("at", 2, F.greatest(F.size("at"), F.lit(1))), lambda a, b: F.least(F.coalesce(b - a, F.lit(window)), F.lit(window))),
                           F.lit(0), lambda x, y: x + y)
     return at.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                     covered.cast("long").alias("n_repeat_words"), "n_lines", "n_stop_words")
+                     covered.cast("long").alias("n_repeat_words"), "n_lines", "n_stop_words_and_one", "n_doubled_words")
 
 
 def compile_rules(rules: dict) -> list:
@@ -134,7 +138,8 @@ covered AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (
 stats AS (SELECT src.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
     (length(text) - length(regexp_replace(text, '{SYMBOLS}', '', 'g')))::BIGINT AS n_symbols,
     (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
-    len(lines) AS n_lines, len(list_filter(words, lambda w: list_contains([{stops}], lower(w)))) AS n_stop_words
+    len(lines) AS n_lines, len(list_filter(words, lambda w: list_contains([{stops}], lower(w)))) + 1 AS n_stop_words_and_one,
+    len(list_filter(range(1, len(words)), lambda i: words[i] = words[i + 1])) AS n_doubled_words
   FROM src LEFT JOIN covered USING (doc_id)),
 base AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM stats)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
