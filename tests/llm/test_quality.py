@@ -17,10 +17,10 @@ def brute(text):
         count[g] = count.get(g, 0) + 1
     covered = {p for k, g in enumerate(grams) if count[g] > 1 for p in range(k, k + 5)}
     return (len(words), sum(map(len, words)), len(re.findall(Q.SYMBOLS, text)), len(lines) - len(set(lines)), len(covered),
-            len(lines), sum(w.lower() in STOPS for w in words))
+            len(lines), sum(w.lower() in STOPS for w in words) + 1, sum(a == b for a, b in zip(words, words[1:])))
 
 
-COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words")
+COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words_and_one", "n_doubled_words")
 
 
 def check(df):
