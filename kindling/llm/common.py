@@ -1,6 +1,7 @@
 """Helpers shared by the operators: column checks, sizing, written tables, connected components."""
 from __future__ import annotations
 
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +31,19 @@ def pieces(total: int, each: int, least: int = 1) -> int:
     return max(least, -(-total // each))
 
 
+def byte_slices(batch, column: int, most: int):
+    """Parts of an Arrow batch with at most ``most`` text bytes, or one row if that has more."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    lo, held = 0, 0
+    for k, n in enumerate(sizes):
+        if held and held + n > most:
+            yield batch.slice(lo, k - lo)
+            lo, held = k, 0
+        held += n
+    if lo < batch.num_rows:
+        yield batch.slice(lo)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """A table in the folder named by spark.checkpoint.dir: lineage is cut, files outlive executors."""
     return materialize(df, name)

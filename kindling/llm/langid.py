@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindling.llm.common import thin
+from kindling.llm.common import byte_slices, thin
 
 BUCKET_BITS = 18
 SMOOTHING = 0.5
@@ -32,6 +32,8 @@ STEPS, STEPS_AFTER = 8, 4
 #: Penalty of a language, times log(words) of the document.
 PENALTY = 0.5
 FOLDS = 5
+#: Text bytes worked on at once; bounds a task's memory, never the result.
+PART_BYTES = 8 << 20
 UNKNOWN = "und"
 #: The pipeline rejects documents whose main language has a lower proportion. A text of two or three
 #: languages is kept; only one spread over more goes.
@@ -69,10 +71,10 @@ class _Words:
 
 def _count_batches(batches, bits):
     totals: dict[str, np.ndarray] = {}
-    for batch in batches:
-        languages = np.array([x.as_py() for x in batch.column(0)], object)
+    for part in (p for b in batches for p in byte_slices(b, 1, PART_BYTES)):
+        languages = np.array([x.as_py() for x in part.column(0)], object)
         for lang in sorted(set(languages)):
-            words = _Words(batch.column(1).filter(pa.array(languages == lang)), bits)
+            words = _Words(part.column(1).filter(pa.array(languages == lang)), bits)
             if not len(words.codes):
                 continue
             weight = np.bincount(words.codes, minlength=words.n)
@@ -146,11 +148,10 @@ def mixtures(words: _Words, table: np.ndarray) -> np.ndarray:
     return share
 
 
-def _predict_batches(batches, model, bits, chunk=2000):
+def _predict_batches(batches, model, bits):
     languages, table = model.value
     for batch in batches:
-        for lo in range(0, batch.num_rows, chunk):
-            part = batch.slice(lo, chunk)
+        for part in byte_slices(batch, 2, PART_BYTES):
             words = _Words(part.column(2), bits)
             pred, score = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
             full = np.flatnonzero(np.diff(words.starts))

@@ -39,7 +39,7 @@ from kindling.session import work_dir
 
 WINDOW_WORDS = 13
 #: Words packed and compiled together; bounds a task's memory, never the result.
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 500_000
 #: Text bytes behind one hash range: as small as the first, as the corpus over RANGES, as large as the last.
 RANGE_BYTES, RANGES, RANGE_BYTES_MOST = 4 << 20, 4096, 256 << 20
 
