@@ -34,6 +34,8 @@ MOST_TIMES = 3
 BLOCK_WORDS = 64
 #: Blocks in an output shard.
 SHARD_BLOCKS = 1 << 16
+#: Slots that one task maps to blocks.
+TASK_SLOTS = 1 << 18
 SEED = 17
 
 
@@ -153,10 +155,11 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
                                              - F.greatest("lo", F.col("block") * block_words)).cast("long").alias("words")))
     per_source = goal.where("n_slots > 0").select("sid", F.col("sid").alias("key"), "n_blocks", "n_slots",
                                                   F.lit(n_shards).cast("long").alias("n_shards"))
-    # one row per source and shard, dealt out anew: a source with a third of all slots is spread by shard
+    # one row per source and shard, dealt out anew: a source with a third of all slots is spread by shard;
+    # a fixed number of tasks, as the rows are few and small but their slots many
     counts = per_source.mapInPandas(partial(_shard_counts, seed=seed),
                                     "sid long, key long, n_blocks long, shard long, first long, count long")
-    slots = counts.repartition(F.col("sid"), F.col("shard")).mapInPandas(
+    slots = counts.repartition(pieces(int(total), TASK_SLOTS), "sid", "shard").mapInPandas(
         _slot_blocks, "sid long, shard long, slot long, block long")
     return placed, parts, slots
 
@@ -165,7 +168,8 @@ def mix(docs: DataFrame, **kw) -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every row."""
     placed, parts, slots = plan(docs, **kw)
     times = slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times"))
-    taken = parts.join(times, ["sid", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    # the planner takes the slots for as small as the table of sources they come from: never broadcast them
+    taken = parts.join(times.hint("merge"), ["sid", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     return placed.join(taken, "row", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
