@@ -128,7 +128,7 @@ def _links_by_points(fps: DataFrame, max_bits: int) -> DataFrame:
     on = (fps.select("fp", F.explode(masks).alias("x"))
           .select("fp", F.col("fp").bitwiseXOR(F.col("x.p")).alias("point"), "x.near"))
     hub = on.where("near").groupBy("point").agg(F.min("fp").alias("u"))
-    return on.join(hub, "point").where("fp <> u").select("u", F.col("fp").alias("v")).distinct()
+    return on.join(hub.hint("merge"), "point").where("fp <> u").select("u", F.col("fp").alias("v")).distinct()
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS, pair_cap: int = PAIR_CAP, chain: int | None = None) -> DataFrame:
@@ -149,7 +149,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, pair_cap: int = PAIR_CAP, ch
     any_hot = not hot.isEmpty()
     cold = index.join(hot, ["i", "key"], "left_anti") if any_hot else index
     diff = F.col("u").bitwiseXOR(F.col("v"))
-    pairs = probe.join(cold, ["i", "key"]).where("u < v")
+    # the planner takes exploded rows for as many as their fingerprints: never broadcast them
+    pairs = probe.join(cold.hint("merge"), ["i", "key"]).where("u < v")
     for length in range(chain + 1, ring.m + 1):
         mask = F.lit(None).cast("long")
         for i in range(ring.m):
