@@ -331,3 +331,21 @@ def op5_decontamination(spark, sf_dir: str) -> DataFrame:
     return got.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORDS_SQL = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP5_SQL = f"""
+WITH src AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS_SQL} AS w FROM documents),
+items AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, {_WORDS_SQL} AS w, least(len(w), {WINDOW_WORDS}) AS n FROM benchmark WHERE len(w) > 0),
+phrases AS (SELECT DISTINCT item, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS s FROM items),
+windows AS (SELECT r, n, unnest(range(1, len(w) - n + 2)) AS i,
+    unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS s
+  FROM src CROSS JOIN (SELECT DISTINCT n FROM phrases) WHERE len(w) >= n),
+hits AS (SELECT r, i, n, item FROM windows JOIN phrases USING (n, s)),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+named AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM hits GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM src LEFT JOIN covered USING (r) LEFT JOIN named USING (r)
+"""

@@ -251,3 +251,16 @@ def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
     from kindling.sources.tables import table
     got = remove_repeats(table(spark, sf_dir, "documents"))
     return got.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP1_SQL = f"""
+WITH src AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (SELECT r, doc_id, unnest(range(1, len(w) - {WINDOW_WORDS - 2})) AS i,
+    unnest(list_transform(range(1, len(w) - {WINDOW_WORDS - 2}), lambda i: array_to_string(w[i:i + {WINDOW_WORDS - 1}], ' '))) AS s FROM src),
+judged AS (SELECT r, i, doc_id > min(doc_id) OVER (PARTITION BY s) AS gone FROM windows),
+places AS (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + {WINDOW_WORDS})) AS p FROM judged WHERE gone)),
+lost AS (SELECT r, list(p) AS ps FROM places GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(ps, []), i)), ' ')) AS kept_sha256
+FROM src LEFT JOIN lost USING (r)
+"""
