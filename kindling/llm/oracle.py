@@ -3,10 +3,12 @@ from kindling.llm.decontam import OP5_SQL
 from kindling.llm.lines import OP6_SQL
 from kindling.llm.quality import OP3_SQL
 from kindling.llm.substring import OP1_SQL
+from kindling.llm.url_filter import OP10_SQL
 
 SQL: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op3_quality_rules": OP3_SQL,
     "op5_decontamination": OP5_SQL,
     "op6_line_dedup": OP6_SQL,
+    "op10_url_filter": OP10_SQL,
 }

@@ -117,4 +117,46 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 def op10_url_filter(spark, sf_dir: str) -> DataFrame:
     """Contract query over the whole pages table."""
     from kindling.sources.tables import table
-    return filter_urls(table(spark, sf_dir, "pages"))
+    return filter_urls(table(spark, sf_dir, "pages")).withColumn("score", F.round("score", 6))
+
+
+def _op10_sql() -> str:
+    parts = PARTS.replace("'", "''")
+    seeds = ", ".join(f"'{w}'" for w in SEED_WORDS)
+    rules = sorted(RULES, key=lambda r: -len(r[0] + r[1]))
+    fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for h, p, _ in rules]
+    rule = " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (h, p, _) in zip(fits, rules))
+    verdict = " ".join(f"WHEN {f} THEN '{v}'" for f, (_, _, v) in zip(fits, rules))
+    tables, joins, p = [], [], ["1.0 / (n.k + 1)", "1.0 / (n.k + 1)"]
+    for k in range(1, ORDER + 1):
+        tail, head = f"substring(g, {ORDER - k + 1}, {k})", f"substring(g, {ORDER - k + 1}, {k - 1})"
+        tables.append(f"t{k} AS (SELECT {tail} AS x, sum(a) AS a, sum(r) AS r FROM c GROUP BY 1)")
+        joins.append(f"JOIN t{k} ON t{k}.x = {tail.replace('(g', '(c.g')}")
+        over = "n"
+        if k > 1:
+            tables.append(f"h{k} AS (SELECT {head} AS x, sum(a) AS a, sum(r) AS r FROM c GROUP BY 1)")
+            joins.append(f"JOIN h{k} ON h{k}.x = {head.replace('(g', '(c.g')}")
+            over = f"h{k}"
+        p = [f"((t{k}.{x} + {STRENGTH} * {q}) / ({over}.{x} + {STRENGTH}))" for x, q in zip("ar", p)]
+    return f"""
+WITH src AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '{parts}', 1), '{UPPER}', '{LOWER}') AS host,
+    regexp_extract(coalesce(url, ''), '{parts}', 2) AS path FROM pages),
+urls AS (SELECT DISTINCT host || path AS t, CASE WHEN list_has_any(regexp_split_to_array(host, '[^a-z0-9]'), [{seeds}]) THEN 1
+    WHEN NOT regexp_matches(host, '{"|".join(SEED_WORDS)}') THEN 0 END AS rej FROM src WHERE host || path <> ''),
+grams AS (SELECT t, rej, unnest(list_transform(range(1, length(t) + 1),
+    lambda i: substring(repeat(chr({ord(PAD)}), {ORDER - 1}) || t, i, {ORDER}))) AS g FROM urls),
+c AS (SELECT g, count(*) FILTER (rej = 0) AS a, count(*) FILTER (rej = 1) AS r FROM grams GROUP BY g),
+n AS (SELECT sum(a) AS a, sum(r) AS r, count(DISTINCT substring(g, {ORDER}, 1)) AS k FROM c),
+{", ".join(tables)},
+p AS (SELECT c.g, ln({p[1]}) - ln({p[0]}) AS ratio FROM c CROSS JOIN n {" ".join(joins)}),
+scores AS (SELECT t, rej, avg(ratio) AS score FROM grams JOIN p USING (g) GROUP BY t, rej),
+bound AS (SELECT (quantile_disc(score, {ACCEPTED_QUANTILE}) FILTER (rej = 0) + quantile_disc(score, {REJECTED_QUANTILE}) FILTER (rej = 1)) / 2 AS edge
+  FROM scores)
+SELECT page_id, host, path, CASE {rule} END AS rule,
+  coalesce(CASE {verdict} END, CASE WHEN score IS NULL OR score > coalesce(edge, 'infinity'::DOUBLE) THEN 'block' ELSE 'allow' END) AS verdict,
+  round(score, 6) AS score
+FROM src CROSS JOIN bound LEFT JOIN scores ON t = host || path
+"""
+
+
+OP10_SQL = _op10_sql()
