@@ -1,13 +1,16 @@
 """HTML main text by wrapper induction.
 
 1. Every page becomes a tree of its block elements with its runs of text as leaves.
-2. Trees of pages of one host are aligned with a reference page by simple tree matching: the largest
-   order-preserving matching of children with equal labels, found by dynamic programming at each
-   matched pair. A text leaf aligned with an equal one is constant. Pages of a host are dealt into
-   bundles of about ``bundle_pages``, so a host with a third of all pages is many small tasks; votes
-   of all bundles are summed.
-3. Text constant on ``min_share`` of a host's different pages, and on ``min_pages`` of them, is
-   template. Copies of a page count once, so a page that was copied often stays content.
+2. Trees of pages of one host are aligned by simple tree matching: the largest order-preserving
+   matching of children with equal labels, found by dynamic programming at each matched pair. Every page
+   of a bundle is aligned with the merged tree of those before it and then becomes part of it, so no page
+   is the reference of the others. A text leaf aligned with an equal one is constant. Leaves that only
+   one page of the bundle has are left out before. Pages of a host are dealt into bundles of about
+   ``bundle_pages``, so a host with a third of all pages is many small tasks; a layout (the containers
+   near the root) of fewer pages lies in one bundle; votes of all bundles are summed.
+3. Text constant on ``min_share`` of the different pages of a host or of one of its layouts, and on
+   ``min_pages`` of them, is template. Copies of a page count once, so a page that was copied often
+   stays content.
 4. A page's varying text is its slots. Slots of regions that are never an article (menus, headers,
    footers, sidebars, notices, adverts, forms, comments, scripts) are left out; if the page has an
    article or main element, only slots inside it count.
@@ -17,12 +20,13 @@ table cells end no block. Only the tree of tags is aligned, not what a browser w
 
 Defined cases: null and empty html give an empty text; markup that never ends runs to the page's end;
 pages without host form a host of their own; repeated rows each get their row; other columns are not
-read. Two trees without equal text have nothing constant, and are not aligned further.
+read. Subtrees without equal text have nothing constant; their elements are merged in order.
 """
 from __future__ import annotations
 
 import html as references
 import re
+import sys
 from functools import partial
 
 import pyarrow as pa
@@ -34,6 +38,8 @@ from kindling.llm.common import thin, written
 
 BUNDLE_PAGES = 64
 MIN_SHARE, MIN_PAGES = 0.5, 5
+#: Depth (html is 0) down to which a page's containers make its layout.
+LAYOUT_DEPTH = 3
 #: Templates up to this size are broadcast; larger ones are joined by a shuffle.
 BROADCAST_BYTES = 8 << 20
 
@@ -53,6 +59,7 @@ NEVER_NAMES = frozenset(
 COMMENT_NAMES = frozenset("comment comments reply replies respond".split())
 NEVER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 MAIN = frozenset(("article", "main"))
+CONTAINERS = frozenset("article aside body div footer form frameset header html main nav section table".split())
 #: An element of the first kind ends an open one of the second, looked for up to the third.
 ENDS = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
@@ -187,6 +194,12 @@ class Page:
             out.append(_hash(f"{out[parent] if parent >= 0 else 0}/{label}"))
         return out
 
+    def layout(self, paths: list[int]) -> int:
+        """A hash of the set of containers near the root."""
+        return _hash(" ".join(map(str, sorted({
+            path for path, label, depth in zip(paths, self.labels, self.depths)
+            if depth <= LAYOUT_DEPTH and label.split(".", 1)[0] in CONTAINERS}))))
+
 
 def main_text(source: str | None, template=frozenset()) -> str:
     """The article of a page: slots less the host's template, given as (path, text) hashes."""
@@ -220,8 +233,8 @@ class Tree:
         return out
 
 
-def align(a: Tree, b: Tree) -> list[int]:
-    """Text leaves of ``a`` that simple tree matching aligns with an equal leaf of ``b``."""
+def matching(a: Tree, b: Tree) -> list[tuple[int, int]]:
+    """Pairs of nodes that simple tree matching aligns; only pairs over equal texts are followed down."""
     common = a.known & b.known
     if not common:
         return []
@@ -229,11 +242,11 @@ def align(a: Tree, b: Tree) -> list[int]:
 
     def pair(i, j):
         if a.labels[i] != b.labels[j]:
-            return 0, []
+            return 0, ()
         if a.texts[i]:
-            return (2, [i]) if a.texts[i] == b.texts[j] else (1, [])
+            return 1 + (a.texts[i] == b.texts[j]), ()
         if i not in live_a or j not in live_b:
-            return 1, []
+            return 1, ()
         score, found = children(a.kids[i], b.kids[j])
         return 1 + score, found
 
@@ -245,7 +258,7 @@ def align(a: Tree, b: Tree) -> list[int]:
             for q, j in enumerate(y):
                 got = pair(i, j)
                 if got[1]:
-                    cells[p, q] = got
+                    cells[p, q] = got[1]
                 row[q + 1] = max(above[q + 1], row[q], above[q] + got[0])
         found, p, q = [], len(x), len(y)
         while p and q:
@@ -255,12 +268,65 @@ def align(a: Tree, b: Tree) -> list[int]:
                 q -= 1
             else:
                 p, q = p - 1, q - 1
-                found += cells.get((p, q), (0, []))[1]
+                found.append((x[p], y[q]))
+                found += cells.get((p, q), ())
         return best[len(x)][len(y)], found
 
     return children(a.roots, b.roots)[1]
 
 
+def align(a: Tree, b: Tree) -> list[int]:
+    """Text leaves of ``a`` that simple tree matching aligns with an equal leaf of ``b``."""
+    return [i for i, j in matching(a, b) if a.texts[i] and a.texts[i] == b.texts[j]]
+
+
+class Merged(Tree):
+    """Tree of the pages merged so far, with the pages of every text leaf."""
+
+    def __init__(self):
+        super().__init__([], [], [])
+        self.pages: list[list[int]] = []
+
+    def _grow(self, parent: int, label: int, text: int) -> int:
+        self.parents.append(parent)
+        self.labels.append(label)
+        self.texts.append(text)
+        self.kids.append([])
+        self.pages.append([])
+        if text:
+            self.known.add(text)
+        return len(self.labels) - 1
+
+    def merge(self, a: Tree, page: int):
+        pairs = matching(a, self)
+        known = {i: j for i, j in pairs if a.texts[i] == self.texts[j]}
+        followed = {a.parents[i] for i, _ in pairs}
+        todo = [(a.roots, -1, bool(pairs))]
+        while todo:
+            x, at, aligned = todo.pop()
+            y, out, q = self.kids[at] if at >= 0 else self.roots, [], 0
+            for i in x:
+                to = known.get(i)
+                if to is None and not aligned and not a.texts[i]:  # nothing equal under it: the next element of its label
+                    to = next((y[t] for t in range(q, len(y)) if self.labels[y[t]] == a.labels[i] and not self.texts[y[t]]), None)
+                if to is None:
+                    to = self._grow(at, a.labels[i], a.texts[i])
+                    out.append(to)
+                else:
+                    upto = y.index(to, q) + 1
+                    out += y[q:upto]
+                    q = upto
+                if a.texts[i]:
+                    self.pages[to].append(page)
+                else:
+                    todo.append((a.kids[i], to, i in followed))
+            out += y[q:]
+            if at >= 0:
+                self.kids[at] = out
+            else:
+                self.roots = out
+
+
 def _skeletons(batches):
     seen = set()
     for batch in batches:
@@ -276,42 +342,94 @@ def _skeletons(batches):
             if len(seen) >= 1_000_000:
                 seen.clear()
             seen.add((host, sig))
-            kept = (host, sig, page.parents, [_hash(x) for x in page.labels], texts, page.paths())
-            for column, value in zip(rows, kept):
+            paths = page.paths()
+            for column, value in zip(rows, (host, sig, page.layout(paths), page.parents, texts, paths)):
                 column.append(value)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(rows[0], pa.string()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.list_(pa.int32())),
-             *[pa.array(r, pa.list_(pa.int64())) for r in rows[3:]]], ["host", "sig", "parents", "labels", "texts", "paths"])
+            [pa.array(rows[0], pa.string()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int64()),
+             pa.array(rows[3], pa.list_(pa.int32())), *[pa.array(r, pa.list_(pa.int64())) for r in rows[4:]]],
+            ["host", "sig", "layout", "parents", "texts", "paths"])
+
+
+def _pruned(parents, paths, texts, shared) -> Tree:
+    """The nodes over leaves of ``shared``. Under one parent, equal paths are equal labels."""
+    keep = [False] * len(parents)
+    for k in range(len(parents) - 1, -1, -1):
+        keep[k] = keep[k] or (texts[k] != 0 and (paths[k], texts[k]) in shared)
+        if keep[k] and parents[k] >= 0:
+            keep[parents[k]] = True
+    place, old = {-1: -1}, [k for k, kept in enumerate(keep) if kept]
+    for new, k in enumerate(old):
+        place[k] = new
+    return Tree([place[parents[k]] for k in old], [paths[k] for k in old], [texts[k] for k in old])
+
+
+def constant(pages: list[tuple]) -> dict:
+    """(path, text) -> the pages of a bundle on which it is constant under alignment, from (parents, paths, texts)."""
+    count: dict = {}
+    for _, paths, texts in pages:
+        for key in {k for k in zip(paths, texts) if k[1]}:
+            count[key] = count.get(key, 0) + 1
+    shared = {key for key, n in count.items() if n > 1}
+    merged, out = Merged(), {}
+    limit = sys.getrecursionlimit()
+    try:
+        for k, (parents, paths, texts) in enumerate(pages):
+            tree = _pruned(parents, paths, texts, shared)
+            sys.setrecursionlimit(max(limit, 2 * len(tree.labels) + 1000))  # two calls a level
+            merged.merge(tree, k)
+    finally:
+        sys.setrecursionlimit(limit)
+    for path, text, seen in zip(merged.labels, merged.texts, merged.pages):
+        if text and len(set(seen)) > 1:
+            out.setdefault((path, text), set()).update(seen)
+    return out
 
 
 def _votes(table: pa.Table) -> pa.Table:
-    """Votes of a bundle: how many of its different pages have a text constant under alignment."""
+    """Votes of a bundle: how many of its different pages have a text constant under alignment, by
+    layout and (group null) in all. Path 0 has the number of pages."""
     pages = {r["sig"]: r for r in table.to_pylist()}
     ordered = [pages[s] for s in sorted(pages)]
-    trees = [Tree(r["parents"], r["labels"], r["texts"]) for r in ordered]
-    host, votes = ordered[0]["host"], {(0, 0): len(trees)}
-    for k, (tree, row) in enumerate(zip(trees, ordered)):
-        other = trees[0] if k else trees[1] if len(trees) > 1 else None
-        if other is not None:
-            for key in {(row["paths"][i], tree.texts[i]) for i in align(tree, other)}:
-                votes[key] = votes.get(key, 0) + 1
-    return pa.table({"host": pa.array([host] * len(votes), pa.string()), "path": pa.array([k[0] for k in votes], pa.int64()),
-                     "text": pa.array([k[1] for k in votes], pa.int64()), "n": pa.array(list(votes.values()), pa.int64())})
+    host, votes = ordered[0]["host"], {}
+
+    def vote(page, path, text):
+        for group in (None, ordered[page]["layout"]):
+            votes[group, path, text] = votes.get((group, path, text), 0) + 1
+
+    for k in range(len(ordered)):
+        vote(k, 0, 0)
+    for (path, text), seen in constant([(r["parents"], r["paths"], r["texts"]) for r in ordered]).items():
+        for k in seen:
+            vote(k, path, text)
+    return pa.table({"host": pa.array([host] * len(votes), pa.string()), "layout": pa.array([k[0] for k in votes], pa.int64()),
+                     "path": pa.array([k[1] for k in votes], pa.int64()), "text": pa.array([k[2] for k in votes], pa.int64()),
+                     "n": pa.array(list(votes.values()), pa.int64())})
 
 
 def templates(pages: DataFrame, bundle_pages: int = BUNDLE_PAGES, min_share: float = MIN_SHARE, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, template): (path, text) hashes of each host with constant text, from (host, html)."""
-    hosts = pages.groupBy("host").agg(F.ceil(F.count(F.lit(1)) / bundle_pages).alias("bundles"))
-    trees = pages.select("host", "html").mapInArrow(
-        _skeletons, "host string, sig long, parents array<int>, labels array<long>, texts array<long>, paths array<long>")
-    dealt = trees.join(hosts, "host").withColumn("bundle", F.pmod("sig", "bundles")).drop("bundles")
-    dealt = dealt.repartition("host", "bundle")  # the join's dealing by host alone would keep a host's bundles together
-    votes = (dealt.groupBy("host", "bundle").applyInArrow(_votes, "host string, path long, text long, n long")
-             .groupBy("host", "path", "text").agg(F.sum("n").alias("n")))
+    trees = written(pages.select("host", "html").mapInArrow(
+        _skeletons, "host string, sig long, layout long, parents array<int>, texts array<long>, paths array<long>"), "wrapper-trees")
+    layouts = trees.groupBy("host", "layout").agg(F.count(F.lit(1)).alias("n"))
+    # layouts of few pages share bundles, each whole in one; a larger one has bundles of its own
+    few = F.col("n") < bundle_pages
+    rest = layouts.where(few).groupBy("host").agg(F.ceil(F.sum("n") / bundle_pages).alias("rest"))
+    layouts = layouts.join(rest, "host", "left").select(
+        "host", "layout", F.when(few, F.lit(None)).otherwise(F.col("layout")).alias("own"),
+        F.when(few, F.col("rest")).otherwise(F.ceil(F.col("n") / bundle_pages)).alias("bundles"))
+    layouts = written(layouts, "wrapper-layouts")  # a join over a written table can split a large host
+    dealt = trees.join(layouts, ["host", "layout"]).withColumn(
+        "bundle", F.pmod(F.when(F.col("own").isNull(), F.col("layout")).otherwise(F.col("sig")), "bundles")).drop("bundles")
+    dealt = dealt.repartition("host", "own", "bundle")  # the join's dealing by host alone would keep a host's bundles together
+    votes = (dealt.groupBy("host", "own", "bundle").applyInArrow(_votes, "host string, layout long, path long, text long, n long")
+             .groupBy("host", "layout", "path", "text").agg(F.sum("n").alias("n")))
     votes = written(votes, "wrapper-votes")
-    total = votes.where("path = 0").select("host", F.col("n").alias("total"))
-    return (votes.where((F.col("path") != 0) & (F.col("n") >= min_pages)).join(total, "host").where(F.col("n") >= min_share * F.col("total"))
-            .groupBy("host").agg(F.collect_list(F.struct("path", "text")).alias("template")))
+    total = votes.where("path = 0").select(F.col("host").alias("h"), F.col("layout").alias("of"), F.col("n").alias("total"))
+    return (votes.where((F.col("path") != 0) & (F.col("n") >= min_pages))
+            .join(total, (F.col("host") == F.col("h")) & F.col("layout").eqNullSafe(F.col("of")))
+            .where(F.col("n") >= min_share * F.col("total"))
+            .groupBy("host").agg(F.collect_set(F.struct("path", "text")).alias("template")))
 
 
 def _extract(batches):

@@ -100,3 +100,51 @@ def test_alignment_finds_the_constant_leaves():
 
 def test_empty(spark):
     assert H.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def shop(k, extra=""):
+    return (f"<html><body><section class=bar><p>Shop name</p></section><section class=goods><p>Ware {k}</p>{extra}</section>"
+            f"<section class=end><p>Terms apply</p></section></body></html>")
+
+
+def board(k):
+    return f"<html><body><table><tr><td><div><p>Board rules</p></div><div><p>Post {k}</p></div></td></tr></table></body></html>"
+
+
+def host_texts(spark, sources):
+    rows = [(k, f"http://h.org/{k}", s) for k, s in enumerate(sources)]
+    return {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_text_on_60_percent_of_pages_is_template(spark):
+    got = host_texts(spark, [page(k, "<p>Subscribe now</p>" if k % 5 < 3 else "") for k in range(60)])
+    assert all(t == f"Story {k} begins\nand goes on {k * 7}" for k, t in got.items())
+
+
+def test_outlier_page_is_no_reference():
+    # whichever page comes first
+    sources = ["<html><body><center>error 500</center></body></html>", *[page(k) for k in range(9)]]
+    for k in range(len(sources)):
+        pages = [H.Page(s) for s in sources[k:] + sources[:k]]
+        rows = []
+        for p in pages:
+            texts = [0] * len(p.labels)
+            for node, text, _, _ in p.leaves:
+                texts[node] = H._hash(text)
+            rows.append((p.parents, p.paths(), texts))
+        found = {text: len(seen) for (_, text), seen in H.constant(rows).items()}
+        assert found == {H._hash(t): 9 for t in ("Site name", "All about it", "Follow us", "today")}
+
+
+def test_every_layout_has_its_template(spark):
+    sources = [page(k) for k in range(40)] + [shop(k) for k in range(30)] + [board(k) for k in range(8)] + ["<html><body><p>odd"]
+    got = host_texts(spark, sources)
+    assert all(got[k] == f"Story {k} begins\nand goes on {k * 7}" for k in range(40))
+    assert all(got[40 + k] == f"Ware {k}" for k in range(30)) and all(got[70 + k] == f"Post {k}" for k in range(8))
+    assert got[78] == "odd"
+
+
+def test_deep_pages_are_merged():
+    deep = [H.Page("<div>" * 3000 + f"<p>same</p><p>{k}</p>") for k in range(3)]
+    rows = [(p.parents, p.paths(), [H._hash(t) if (t := dict((n, t) for n, t, _, _ in p.leaves).get(k)) else 0 for k in range(len(p.labels))]) for p in deep]
+    assert [len(seen) for seen in H.constant(rows).values()] == [3]
