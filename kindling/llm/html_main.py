@@ -13,7 +13,9 @@
    stays content.
 4. A page's varying text is its slots. Slots of regions that are never an article (menus, headers,
    footers, sidebars, notices, adverts, forms, comments, scripts) are left out; if the page has an
-   article or main element, only slots inside it count.
+   article or main element, only slots inside it count. A region that only a class or id names so
+   ('has-sidebar', 'comments-open') is left out if there is an article or main elsewhere; else it counts
+   if it holds more of one than there is other varying text, or most of the page's varying text.
 
 White space of a block becomes one space; blocks are joined by one newline in page order. ``br`` and
 table cells end no block. Only the tree of tags is aligned, not what a browser would compute from styles.
@@ -79,13 +81,15 @@ def _hash(x: str) -> int:
 
 
 class Page:
-    """Blocks and text leaves of one page. Leaves: (node, text, in main, never article)."""
+    """Blocks and text leaves of one page. Leaves: (node, text, in main, never article by itself or a name)."""
 
     def __init__(self, source: str | None):
         self.labels, self.depths, self.parents = [], [], []
         self.leaves: list[tuple[int, str, bool, bool]] = []
-        self.has_main = False
-        self._open: list[tuple[str, int, bool, bool]] = [("", -1, False, False)]  # tag, node, main, never
+        self.named: list[int] = []   # elements rejected by a name only: the one around each
+        self.states: list[tuple[bool, int]] = []  # of each leaf: never article, innermost named element
+        self.mains: list[int] = []   # innermost named element of each article and main
+        self._open: list[tuple[str, int, bool, bool, int]] = [("", -1, False, False, -1)]  # tag, node, main, never, named
         self._run: list[str] = []
         self._parse(source or "")
 
@@ -97,16 +101,17 @@ class Page:
 
     def _flush(self):
         if self._run:
-            for never in (False, True):
-                text = " ".join("".join(t for t, n in self._run if n == never).split())
+            for state in sorted({x for _, x in self._run}):
+                text = " ".join("".join(t for t, x in self._run if x == state).split())
                 if text:
-                    _, parent, main, _ = next(x for x in reversed(self._open) if x[0] in BLOCK or not x[0])
-                    self.leaves.append((self._node("#text", parent), text, main, never))
+                    _, parent, main, _, _ = next(x for x in reversed(self._open) if x[0] in BLOCK or not x[0])
+                    self.leaves.append((self._node("#text", parent), text, main, state[0] or state[1] >= 0))
+                    self.states.append(state)
             self._run = []
 
     def _text(self, raw: str):
         if raw:
-            self._run.append((references.unescape(raw) if "&" in raw else raw, self._open[-1][3]))
+            self._run.append((references.unescape(raw) if "&" in raw else raw, self._open[-1][3:]))
 
     def _pop_to(self, k: int):
         if any(x[0] in BLOCK for x in self._open[k:]):
@@ -124,12 +129,12 @@ class Page:
 
     def _start(self, tag: str, attributes: str):
         if tag == "br" or tag in ("td", "th"):
-            self._run.append((" ", self._open[-1][3]))
+            self._run.append((" ", self._open[-1][3:]))
         if tag in VOID:
             if tag == "hr":
                 self._flush()
             return
-        names, roles, label = set(), set(), tag
+        names, whole, roles, label = set(), set(), set(), tag
         if "=" in attributes:
             for key, *value in ATTRIBUTE.findall(attributes):
                 value = "".join(value).lower()
@@ -137,27 +142,34 @@ class Page:
                     roles.update(value.split())
                 else:
                     names.update(NAME.findall(value))
+                    whole.update(value.split())
                 if key.lower() == "class":
                     label = f"{tag}.{value}"
         if tag in BLOCK:
             self._close(("p",), ("table", "td", "th", "button", "object"))
         if tag in ENDS:
             self._close(*ENDS[tag])
-        _, parent, main, never = self._open[-1]
+        _, parent, main, never, within = self._open[-1]
         own_main = tag in MAIN or "main" in roles
         if tag in ("html", "body", "main"):
-            bad = False
+            bad = named = False
         elif tag == "article":
-            bad = not COMMENT_NAMES.isdisjoint(names)
+            bad = not COMMENT_NAMES.isdisjoint(whole)
+            named = False  # 'comments-open' is said of articles
         else:
-            bad = tag in NEVER or not NEVER_NAMES.isdisjoint(names) or not NEVER_ROLES.isdisjoint(roles)
+            bad = tag in NEVER or not NEVER_ROLES.isdisjoint(roles)
+            named = "main" not in roles and not NEVER_NAMES.isdisjoint(names)
         never = never or bad
+        if named and not never:
+            self.named.append(within)
+            within = len(self.named) - 1
         if own_main and not never:
-            main = self.has_main = True
+            main = True
+            self.mains.append(within)
         if tag in BLOCK:
             self._flush()
             parent = self._node(label, parent)
-        self._open.append((tag, parent, main, never))
+        self._open.append((tag, parent, main, never, within))
 
     def _end(self, tag: str):
         for k in range(len(self._open) - 1, 0, -1):
@@ -200,13 +212,42 @@ class Page:
             path for path, label, depth in zip(paths, self.labels, self.depths)
             if depth <= LAYOUT_DEPTH and label.split(".", 1)[0] in CONTAINERS}))))
 
+    def content(self, template=frozenset()) -> list[str]:
+        """Slots of the article, less the template. Named elements are let in from the outside inwards, as
+        long as no article or main is in."""
+        paths = self.paths() if template else None
+        slots = [(text, main, within) for (node, text, main, _), (never, within) in zip(self.leaves, self.states)
+                 if not never and not (template and (paths[node], _hash(text)) in template)]
+        total, free = sum(len(x[0]) for x in slots), sum(len(x[0]) for x in slots if x[2] < 0)
+        own, held, article = ([0] * len(self.named) for _ in range(3))
+        for text, main, within in slots:
+            if within >= 0:
+                own[within] += len(text)
+                held[within] += len(text)
+                article[within] += len(text) * main
+        inside: dict[int, list[int]] = {}
+        for k in range(len(self.named) - 1, -1, -1):
+            around = self.named[k]
+            inside.setdefault(around, []).append(k)
+            if around >= 0:
+                held[around] += held[k]
+                article[around] += article[k]
+        shown, mains = {-1}, set(self.mains)
+        edge = inside.get(-1, [])
+        while edge and mains.isdisjoint(shown):
+            found = [k for k in edge if 2 * held[k] > total or article[k] > free]
+            if not found:
+                break
+            shown.update(found)
+            free += sum(own[k] for k in found)
+            edge = [k for k in edge if k not in shown] + [x for k in found for x in inside.get(k, ())]
+        has_main = not mains.isdisjoint(shown)
+        return [text for text, main, within in slots if within in shown and main >= has_main]
+
 
 def main_text(source: str | None, template=frozenset()) -> str:
     """The article of a page: slots less the host's template, given as (path, text) hashes."""
-    page = Page(source)
-    paths = page.paths() if template else None
-    return "\n".join(text for node, text, main, never in page.leaves if not never and main >= page.has_main
-                     and not (template and (paths[node], _hash(text)) in template))
+    return "\n".join(Page(source).content(template))
 
 
 class Tree:

@@ -148,3 +148,23 @@ def test_deep_pages_are_merged():
     deep = [H.Page("<div>" * 3000 + f"<p>same</p><p>{k}</p>") for k in range(3)]
     rows = [(p.parents, p.paths(), [H._hash(t) if (t := dict((n, t) for n, t, _, _ in p.leaves).get(k)) else 0 for k in range(len(p.labels))]) for p in deep]
     assert [len(seen) for seen in H.constant(rows).values()] == [3]
+
+
+@pytest.mark.parametrize("source,want", [
+    ("<div id=page class='site has-sidebar'><nav>m</nav><article><p>a</p></article><div class=sidebar><p>long long side</p></div></div>", "a"),
+    ("<div class='elementor-widget'><p>not</p><main><p>the text</p></main></div><p>x", "the text"),
+    ("<div class=no-banner><div class='post comments-open'><p>the whole text</p></div></div><div class=cookie-notice>n</div>", "the whole text"),
+    ("<article class='post comments-open'><p>a</p></article><section id=comments><article class=comment>c</article></section>", "a"),
+    ("<div class=has-sidebar><div class=related><article>b</article></div><article><p>a a</p></article></div>", "a a"),
+    ("<div class=content><p>the content itself</p></div><div class=related><article>teaser</article></div>", "the content itself"),
+    ("<article><p>a</p></article><div class=comments><p>a very long comment on it</p></div>", "a"),
+    ("<div role=main class=no-sidebar><p>t</p></div><p>x", "t"), ("<header class=site-header><article>h</article></header><p>x", "x"),
+    ("<div class=widget>" * 3000 + "<p>in" + "</div>" * 3000, "in")])
+def test_a_name_alone_does_not_reject_the_article(source, want):
+    assert H.main_text(source) == want
+
+
+def test_template_decides_where_a_name_does_not(spark):
+    got = host_texts(spark, [f"<body><div class='site no-banner'><p>Site name, and all about it in many words</p><p>Story {k}</p></div>"
+                             f"<div class=sidebar><p>Most read</p><p>{k}</p></div>" for k in range(12)])
+    assert got == {k: f"Story {k}" for k in range(12)}
