@@ -20,7 +20,7 @@ from kindling.sources.tables import table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or without a main language, go."""
+    """Documents without letters, without a main language, or that fit no learned language, go."""
     return keep_identified(docs)
 
 

@@ -10,6 +10,10 @@ score.
 EM runs over all documents of a batch at once, by segment sums. The model's size is languages x buckets,
 whatever the corpus.
 
+Proportions only compare languages. The pipeline's stage also tests a document's fit: the mean
+log-likelihood of its trigrams, each word by the language that fits it best. It is set against the fits of
+all learned rows, each without its own counts, so gibberish and unlearned languages go.
+
 Defined cases: null texts and texts without a letter are ``und`` with score 0, as is everything if no
 row is labelled; ties go to the first language by name; a null doc_id is neither learned from nor held
 out; repeated rows each get their row; other columns are not read.
@@ -23,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindling.llm.common import byte_slices, thin
+from kindling.llm.common import byte_slices, thin, written
 
 BUCKET_BITS = 18
 SMOOTHING = 0.5
@@ -38,6 +42,10 @@ UNKNOWN = "und"
 #: The pipeline rejects documents whose main language has a lower proportion. A text of two or three
 #: languages is kept; only one spread over more goes.
 MIN_SCORE = 0.3
+#: A fit is rejected if it lies further below the low quantile of the learned rows than ``FIT_MARGIN`` times
+#: the quantile's distance from their median. Each counts as if it had ``PRIOR_TRIGRAMS`` of the mean fit
+#: besides, as the fit of few words says little.
+FIT_QUANTILE, FIT_MARGIN, PRIOR_TRIGRAMS = 0.001, 2, 20
 
 
 def _letters(text):
@@ -88,19 +96,90 @@ def _count_batches(batches, bits):
                                              ["lang", "bucket", "n"])
 
 
-def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", bits: int = BUCKET_BITS):
-    """(languages, log-likelihoods [languages, buckets]) from every row with a language."""
-    src = thin(labelled, lang=lang_col, text=text_col).where("lang IS NOT NULL").select(
+def _labelled(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    return thin(docs, lang=lang_col, text=text_col).where("lang IS NOT NULL").select(
         F.col("lang").cast("string"), _letters(F.col("text")).alias("text"))
-    counted = (src.mapInArrow(partial(_count_batches, bits=bits), "lang string, bucket long, n long")
+
+
+def _counts(labelled: DataFrame, bits: int):
+    """(languages, counts [languages, buckets])"""
+    counted = (labelled.mapInArrow(partial(_count_batches, bits=bits), "lang string, bucket long, n long")
                .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())  # languages x buckets at most
     languages = sorted(set(counted["lang"]))
     table = np.zeros((len(languages), 1 << bits))
     place = {lang: k for k, lang in enumerate(languages)}
     table[counted["lang"].map(place).to_numpy(int), counted["bucket"].to_numpy(int)] = counted["n"].to_numpy(float)
+    return languages, table
+
+
+def _totals(table: np.ndarray) -> np.ndarray:
+    """Smoothed trigrams of each language, over the buckets seen and one more."""
     seen = max(1, int((table.sum(0) > 0).sum())) + 1
-    table += SMOOTHING
-    return languages, np.log(table / (table.sum(1, keepdims=True) - SMOOTHING * ((1 << bits) - seen)) if languages else table).astype(np.float32)
+    return table.sum(1, keepdims=True, dtype=float) + SMOOTHING * seen
+
+
+def _log_likelihoods(table: np.ndarray) -> np.ndarray:
+    return np.log((table + SMOOTHING) / _totals(table)).astype(np.float32)
+
+
+def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", bits: int = BUCKET_BITS):
+    """(languages, log-likelihoods [languages, buckets]) from every row with a language."""
+    languages, table = _counts(_labelled(labelled, text_col, lang_col), bits)
+    return languages, _log_likelihoods(table)
+
+
+def _by_word(words: _Words, table: np.ndarray) -> np.ndarray:
+    return np.array([np.bincount(words.word_of, weights=row[words.grams], minlength=words.n) for row in table])
+
+
+def fits(words: _Words, table: np.ndarray):
+    """(log-likelihood, trigrams) of every document, each word by the language that fits it best."""
+    each = _by_word(words, table).max(0)[words.codes], np.bincount(words.word_of, minlength=words.n)[words.codes]
+    sums = [np.concatenate(([0], np.cumsum(x))) for x in each]
+    return tuple(x[words.starts[1:]] - x[words.starts[:-1]] for x in sums)
+
+
+def _learned_fit_batches(batches, model, bits):
+    """Fit of every learned row, without the row's own counts."""
+    languages, counts = model.value
+    place = {lang: k for k, lang in enumerate(languages)}
+    logs, totals = _log_likelihoods(counts), _totals(counts)
+    for part in (p for b in batches for p in byte_slices(b, 1, PART_BYTES)):
+        words, found = _Words(part.column(1), bits), ([], [])
+        by_word, size = _by_word(words, logs), np.bincount(words.word_of, minlength=words.n)
+        first = np.cumsum(size) - size
+        for lang, lo, hi in zip(part.column(0).to_pylist(), words.starts, words.starts[1:]):
+            if lo == hi:
+                continue
+            own, times = np.unique(words.codes[lo:hi], return_counts=True)
+            n = size[own]
+            grams = words.grams[np.repeat(first[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            weight = np.repeat(times, n)
+            distinct, at = np.unique(grams, return_inverse=True)
+            held = np.bincount(at, weights=weight)[at]
+            k = place[lang]
+            left = np.maximum(counts[k, grams] - held, 0)
+            best = by_word[:, own]
+            best[k] = np.bincount(np.repeat(np.arange(len(own)), n), minlength=len(own), weights=np.log(
+                (left + SMOOTHING) / (totals[k, 0] - weight.sum())))
+            found[0].append(float((best.max(0) * times).sum()))
+            found[1].append(int((n * times).sum()))
+        yield pa.RecordBatch.from_arrays([pa.array(found[0], pa.float64()), pa.array(found[1], pa.int64())], ["loglik", "trigrams"])
+
+
+def _fit(mean: float) -> "F.Column":
+    return (F.col("loglik") + PRIOR_TRIGRAMS * mean) / (F.col("trigrams") + PRIOR_TRIGRAMS)
+
+
+def least_fit(labelled: DataFrame, languages: list, counts: np.ndarray, bits: int = BUCKET_BITS) -> tuple[float, float]:
+    """(mean fit of a trigram, least fit of a document) from all learned rows (lang, text)."""
+    sent = labelled.sparkSession.sparkContext.broadcast((languages, counts.astype(np.float32)))
+    got = written(labelled.mapInArrow(partial(_learned_fit_batches, model=sent, bits=bits), "loglik double, trigrams long"), "lang-fits")
+    mean = got.agg(F.sum("loglik") / F.sum("trigrams")).first()[0]
+    if mean is None:
+        return 0.0, float("-inf")
+    low, median = got.agg(F.percentile_approx(_fit(mean), [FIT_QUANTILE, 0.5], 10000)).first()[0]
+    return mean, low - FIT_MARGIN * (median - low)
 
 
 def _proportions(like, starts, share, steps):
@@ -148,7 +227,7 @@ def mixtures(words: _Words, table: np.ndarray) -> np.ndarray:
     return share
 
 
-def _predict_batches(batches, model, bits):
+def _predict_batches(batches, model, bits, with_fit=False):
     languages, table = model.value
     for batch in batches:
         for part in byte_slices(batch, 2, PART_BYTES):
@@ -161,18 +240,23 @@ def _predict_batches(batches, model, bits):
                 score[full] = np.clip(share[best, np.arange(len(full))], 0, 1)
                 for row, lang in zip(full.tolist(), best.tolist()):
                     pred[row] = languages[lang]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(pred), pa.array(score)],
-                                             ["doc_id", "held_out", "lang_pred", "score"])
+            columns = {"doc_id": part.column(0), "held_out": part.column(1), "lang_pred": pa.array(pred), "score": pa.array(score)}
+            if with_fit:
+                loglik, trigrams = fits(words, table) if len(full) and languages else np.zeros((2, part.num_rows))
+                columns |= {"loglik": pa.array(loglik, pa.float64()), "trigrams": pa.array(trigrams.astype(np.int64))}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
-def predict(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", bits: int = BUCKET_BITS) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score) of every row. ``model``: what ``learn`` gave."""
+def predict(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text", bits: int = BUCKET_BITS,
+            with_fit: bool = False) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score) of every row, and (loglik, trigrams) if asked for. ``model``: what
+    ``learn`` gave."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     src = thin(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("long"), F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
         _letters(F.col("text")).alias("text"))
-    return src.mapInArrow(partial(_predict_batches, model=sent, bits=bits),
-                          "doc_id long, held_out boolean, lang_pred string, score double")
+    return src.mapInArrow(partial(_predict_batches, model=sent, bits=bits, with_fit=with_fit),
+                          "doc_id long, held_out boolean, lang_pred string, score double" + ", loglik double, trigrams long" * with_fit)
 
 
 def fold(doc_id) -> "F.Column":
@@ -186,9 +270,13 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                     min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents with a main language of at least ``min_score``, all columns kept. Rows of one doc_id
-    stay if any of them does; null ids are judged together."""
-    good = (identify(docs, id_col, text_col, lang_col).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+    """The documents with a main language of at least ``min_score`` and a fit like the learned rows', all
+    columns kept. Rows of one doc_id stay if any of them does; null ids are judged together."""
+    labelled = _labelled(docs.where(fold(F.col(id_col)) != 0), text_col, lang_col)
+    languages, counts = _counts(labelled, BUCKET_BITS)
+    mean, least = least_fit(labelled, languages, counts)
+    good = (predict(docs, (languages, _log_likelihoods(counts)), id_col, text_col, with_fit=True)
+            .where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score) & (_fit(mean) >= least))
             .select(F.col("doc_id").alias("_good_id")).distinct())
     return docs.join(good, docs[id_col].cast("long").eqNullSafe(F.col("_good_id")), "left_semi")
 

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kindling.llm import langid as L
@@ -100,3 +101,31 @@ def test_words_survive_any_text(docs_of, text):
     model = (["aa"], np.zeros((1, 1 << L.BUCKET_BITS), np.float32))
     got = L.predict(docs_of([(1, text, None, None)]), model).collect()
     assert got[0].lang_pred == ("aa" if any(c.isalpha() for c in text) else "und")
+
+
+def test_stage_rejects_gibberish_and_unlearned_languages(docs_of):
+    rnd = random.Random(5)
+    data = rows(200)
+    other = [(1000 + k, " ".join("".join(rnd.choices("bcdfghjkpqvxz", k=rnd.randint(4, 9))) for _ in range(30)), None, "s") for k in range(3)]
+    other += [(2000 + k, " ".join(rnd.choices(["hrvojed", "pljusnu", "ckvist", "jednym"], k=40)), None, "s") for k in range(3)]
+    short = [(3000, "Katoma", None, "s"), (3001, "shiyau brenzel", None, "s")]
+    kept = sorted(r.doc_id for r in L.keep_identified(docs_of(data + other + short)).collect())
+    assert kept == [*range(200), 3000, 3001]
+
+
+def test_learned_rows_fit_without_their_own_counts(docs_of):
+    labelled = L._labelled(docs_of([(1, "abc abd", "aa", "s"), (2, "abc", "aa", "s"), (3, "xyz", "bb", "s")]), "text", "lang")
+    languages, counts = L._counts(labelled, L.BUCKET_BITS)
+    rest = L._labelled(docs_of([(2, "abc", "aa", "s"), (3, "xyz", "bb", "s")]), "text", "lang")
+    alone = L._counts(rest, L.BUCKET_BITS)[1]
+
+    class Model:
+        value = languages, counts.astype(np.float32)
+
+    got = [b.to_pylist() for b in L._learned_fit_batches(labelled.toArrow().to_batches(), Model, L.BUCKET_BITS)]
+    got = [r for b in got for r in b]
+    words = L._Words(pa.array(["abc abd "]), L.BUCKET_BITS)
+    logs = np.log((alone + L.SMOOTHING) / (L._totals(counts) - np.array([[6], [0]])))
+    want, n = L.fits(words, logs)
+    assert sorted(r["trigrams"] for r in got) == [3, 3, 6]
+    assert n[0] == 6 and [r["loglik"] for r in got if r["trigrams"] == 6][0] == pytest.approx(want[0], rel=1e-5)
