@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindling.llm.decontam import drop_contaminated
+from kindling.llm.decontam import drop_contaminated_rows
 from kindling.llm.langid import keep_identified
 from kindling.llm.lines import drop_boilerplate
 from kindling.llm.mixing import mix
@@ -33,13 +33,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id."""
+    """One row of each group of near copies stays: the one with the smallest doc_id."""
     return keep_one(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a passage of a test item occurs go."""
-    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Rows in which a passage of a test item occurs go."""
+    return drop_contaminated_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_to_target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

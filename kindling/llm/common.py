@@ -22,6 +22,13 @@ def thin(df: DataFrame, **cols: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(n) for n, c in cols.items()])
 
 
+def row_key(doc_id, text) -> "F.Column":
+    """64 bits of a row's id and text, nulls told apart. Rows of one key are alike to stages that judge the
+    text; two others meet with odds of 2^-64."""
+    doc_id, text = doc_id.cast("long"), text.cast("string")
+    return F.xxhash64(doc_id.isNull(), doc_id, text.isNull(), text)
+
+
 def text_bytes(df: DataFrame, column: str) -> int:
     """UTF-8 bytes in a text column; used only to size partitions, never to choose a result."""
     return int(df.agg(F.coalesce(F.sum(F.octet_length(F.col(column))), F.lit(0))).first()[0])

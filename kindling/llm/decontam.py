@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindling.llm.common import thin
+from kindling.llm.common import row_key, thin
 
 WINDOW_WORDS = 10
 #: Words indexed together; bounds a task's memory, never the result.
@@ -324,6 +324,16 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id",
     return docs.join(bad, docs[id_col].cast("long").eqNullSafe(F.col("_hit_id")), "left_anti")
 
 
+def drop_contaminated_rows(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """The rows in which no test phrase occurs, all columns kept. Every row is judged by its own text,
+    whatever its id."""
+    text = F.col(f"`{text_col}`")
+    key = row_key(F.col(f"`{id_col}`"), text)
+    bad = (find_hits(docs.select(key.alias("doc_id"), text.alias("text")), bench, **kw).where("n_hit > 0")
+           .select(F.col("doc_id").alias("_hit_key")).distinct())
+    return docs.join(bad, key == F.col("_hit_key"), "left_anti")
+
+
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:
     """Contract query over the whole documents and benchmark tables."""
     from kindling.sources.tables import table

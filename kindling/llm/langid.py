@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindling.llm.common import byte_slices, thin, written
+from kindling.llm.common import byte_slices, row_key, thin, written
 
 BUCKET_BITS = 18
 SMOOTHING = 0.5
@@ -271,14 +271,16 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                     min_score: float = MIN_SCORE) -> DataFrame:
     """The documents with a main language of at least ``min_score`` and a fit like the learned rows', all
-    columns kept. Rows of one doc_id stay if any of them does; null ids are judged together."""
+    columns kept. Every row is judged by its own text, whatever its id."""
     labelled = _labelled(docs.where(fold(F.col(id_col)) != 0), text_col, lang_col)
     languages, counts = _counts(labelled, BUCKET_BITS)
     mean, least = least_fit(labelled, languages, counts)
-    good = (predict(docs, (languages, _log_likelihoods(counts)), id_col, text_col, with_fit=True)
+    text = F.col(f"`{text_col}`")
+    key = row_key(F.col(f"`{id_col}`"), text)
+    good = (predict(docs.select(key.alias("doc_id"), text.alias("text")), (languages, _log_likelihoods(counts)), with_fit=True)
             .where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score) & (_fit(mean) >= least))
-            .select(F.col("doc_id").alias("_good_id")).distinct())
-    return docs.join(good, docs[id_col].cast("long").eqNullSafe(F.col("_good_id")), "left_semi")
+            .select(F.col("doc_id").alias("_good_key")).distinct())
+    return docs.join(good, key == F.col("_good_key"), "left_semi")
 
 
 def op4_language_id(spark, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindling.llm.common import connected_components, thin, written
+from kindling.llm.common import connected_components, row_key, thin, written
 
 BITS = 64
 SHINGLE_WORDS = 4
@@ -164,26 +164,44 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, pair_cap: int = PAIR_CAP, ch
     return found
 
 
+def _components(classes: DataFrame, max_bits: int, pair_cap: int, chain: int | None) -> DataFrame:
+    """``classes``, one row per fingerprint, with the component of each."""
+    nodes = connected_components(links(classes.select("fp"), max_bits, pair_cap, chain))
+    return classes.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
+        "component", F.coalesce("component", "fp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS,
                     max_bits: int = MAX_BITS, pair_cap: int = PAIR_CAP, chain: int | None = None) -> DataFrame:
     """(doc_id, fp, component_id): every row with the smallest doc_id reachable over links."""
     docs_fp = written(fingerprints(docs, id_col, text_col, shingle), "simhash-docs")
     classes = written(docs_fp.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
-    nodes = connected_components(links(classes.select("fp"), max_bits, pair_cap, chain))
-    joined = classes.join(nodes.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "component", F.coalesce("component", "fp"))
+    joined = _components(classes, max_bits, pair_cap, chain)
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     member = joined.join(least, "component").select("fp", "component_id")
     return docs_fp.join(member, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its component's smallest, all columns kept. Rows that repeat
-    that doc_id are the same document and all stay; rows with a null doc_id go when their component
-    has a smallest doc_id."""
-    got = near_duplicates(docs, id_col, text_col, **kw)
-    kept = got.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs[id_col].cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS,
+             max_bits: int = MAX_BITS, pair_cap: int = PAIR_CAP, chain: int | None = None) -> DataFrame:
+    """One row of each component, all columns kept: the one with the smallest doc_id (null last), then with
+    the smallest hash of id and text. Of rows equal in both, one stays, by the hash of the other columns."""
+    doc_id, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
+    key = row_key(doc_id, text)
+    keyed = fingerprints(docs.select(key.alias("doc_id"), text.alias("text")), shingle=shingle).select(F.col("doc_id").alias("key"), "fp")
+    ids = docs.select(key.alias("key"), doc_id.alias("id")).groupBy("key").agg(F.first("id").alias("id"), F.count(F.lit(1)).alias("n"))
+    rows = written(keyed.distinct().join(ids, "key"), "simhash-rows")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "key", "n")
+    classes = written(rows.groupBy("fp").agg(F.min(place).alias("least")), "simhash-classes")
+    kept = written(_components(classes, max_bits, pair_cap, chain).groupBy("component").agg(F.min("least").alias("least"))
+                   .select(F.col("least.key").alias("_kept_key"), F.col("least.n").alias("_kept_n")), "simhash-kept")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    alone = docs.join(kept.where("_kept_n = 1"), key == F.col("_kept_key"), "left_semi")
+    copied = docs.join(kept.where("_kept_n > 1").drop("_kept_n"), key == F.col("_kept_key"))
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    # the copies' rows are combined before the exchange, however many there are
+    first = copied.groupBy("_kept_key").agg(F.min_by(F.struct(*columns), F.xxhash64(*hashed)).alias("_kept_row"))
+    return alone.unionByName(first.select(*[F.col("_kept_row").getField(c).alias(c) for c in docs.columns]))
 
 
 def hex_fingerprint(fp) -> "F.Column":

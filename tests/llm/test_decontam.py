@@ -105,3 +105,11 @@ def test_random_passages(docs_of, spark):
         rows.append((i, " ".join(parts), "en", "s"))
     bench = spark.createDataFrame(items, "item_id long, text string")
     assert result(D.find_hits(docs_of(rows), bench, shard_words=200)) == brute([r[:2] for r in rows], items)
+
+
+def test_rows_are_judged_by_their_own_text(spark, docs_of):
+    bad = " ".join(f"q{k}" for k in range(12))
+    bench = spark.createDataFrame([(1, bad)], "item_id long, text string")
+    rows = [(None, bad, "en", "s"), (None, "clean", "en", "s"), (None, None, "en", "s"), (1, bad, "en", "s"), (1, "other", "en", "s")]
+    kept = D.drop_contaminated_rows(docs_of(rows), bench).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [(0, ""), (0, "clean"), (1, "other")]

@@ -129,3 +129,9 @@ def test_learned_rows_fit_without_their_own_counts(docs_of):
     want, n = L.fits(words, logs)
     assert sorted(r["trigrams"] for r in got) == [3, 3, 6]
     assert n[0] == 6 and [r["loglik"] for r in got if r["trigrams"] == 6][0] == pytest.approx(want[0], rel=1e-5)
+
+
+def test_stage_judges_rows_by_their_own_text(docs_of):
+    data = rows(60) + [(None, "12 345", None, "s"), (None, "katoma tikato", None, "s"), (0, "...", None, "s")]
+    kept = L.keep_identified(docs_of(data)).collect()
+    assert sorted(r.text for r in kept) == sorted(t for _, t, _, _ in rows(60) + [(None, "katoma tikato", None, "s")])

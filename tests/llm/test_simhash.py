@@ -88,3 +88,12 @@ def test_long_chain_component(spark):
     from kindling.llm.common import connected_components
     edges = spark.range(200).selectExpr("id as u", "id + 1 as v")
     assert connected_components(edges).select("component").distinct().collect()[0][0] == 0
+
+
+def test_keep_one_keeps_one_row_of_each_component(docs_of):
+    a, b, c = (" ".join(f"{t}{k}" for k in range(60)) for t in "abc")
+    rows = [(None, a, "en", "s"), (4, a, "en", "s"), (None, b, "en", "s"), (None, b, "en", "s"),
+            (7, c, "en", "s"), (7, c, "en", "s"), (7, c, "en", "t"), (8, c, "en", "s"), (7, b + " d e f", "en", "s")]
+    got = [sorted((r.doc_id or 0, r.text[:1], r.source) for r in S.keep_one(docs_of(x)).collect()) for x in (rows[:8], rows[7::-1])]
+    assert got[0] == got[1]
+    assert [x[:2] for x in got[0]] == [(0, "b"), (4, "a"), (7, "c")]
