@@ -1,7 +1,9 @@
 """Mixing sources to target weights.
 
 1. Every source's documents, in a pseudorandom order, are packed end to end into blocks of
-   ``block_words`` words (the last one may be shorter).
+   ``block_words`` words (the last one may be shorter); a source with a target of fewer than
+   ``LEAST_SLOTS`` such blocks has blocks of that share of its target, of one word at least, so that
+   whole blocks come near the target of a small source too.
 2. Sources by code point, null last, weigh ``weights`` in turn and share the words of all; a source's
    target stops at ``most`` times its size and the excess is reshared by weight.
 3. A source's slots (its target in blocks) are spread over the output shards by a multinomial draw, so
@@ -32,6 +34,8 @@ from kindling.llm.common import pieces, thin, words, written
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
 BLOCK_WORDS = 64
+#: Blocks that a target has at least, or as many as it has words.
+LEAST_SLOTS = 48
 #: Blocks in an output shard.
 SHARD_BLOCKS = 1 << 16
 #: Slots that one task maps to blocks.
@@ -113,7 +117,7 @@ def _slot_blocks(batches, block_rows=1 << 16):
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
          most: int = MOST_TIMES, block_words: int = BLOCK_WORDS, shard_blocks: int = SHARD_BLOCKS, seed: int = SEED):
-    """Tables of the mix: rows (row, doc_id, size, sid, source_size, target), pieces (row, sid, block, words)
+    """Tables of the mix: rows (row, doc_id, size, sid, source_size, target, each), pieces (row, sid, block, words)
     and slots (sid, shard, slot, block), where slots join pieces by (sid, block)."""
     src = thin(docs, doc_id=id_col, text=text_col, source=source_col)
     # rows of one doc_id that agree in size and source are interchangeable, so any order among them is the same
@@ -123,19 +127,20 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     goal = targets(sources.select("source", "source_size"), weights, most)
     goal = goal.join(sources.select(F.col("source").alias("s"), "n_docs"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    n_blocks = F.ceil(F.col("source_size") / block_words)
+    each = F.least(F.lit(block_words), F.greatest(F.lit(1), F.floor(F.col("target") / LEAST_SLOTS))).cast("long")
+    n_blocks = F.ceil(F.col("source_size") / each)
     # the last block may be short: slots count full blocks' worth, and never more than every block ``most`` times
     share = F.col("target") * n_blocks / F.greatest(F.col("source_size"), F.lit(1))
     goal = goal.select(
         "source", "source_size", "target", F.xxhash64(F.lit(seed), F.coalesce("source", F.lit("")), F.col("source").isNull()).alias("sid"),
-        n_blocks.cast("long").alias("n_blocks"), F.least(F.round(share), n_blocks * most).cast("long").alias("n_slots"),
+        each.alias("each"), n_blocks.cast("long").alias("n_blocks"), F.least(F.round(share), n_blocks * most).cast("long").alias("n_slots"),
         F.ceil(F.sqrt("n_docs")).cast("long").alias("ranges"))
     goal = written(goal, "mix-sources")
     total = goal.agg(F.coalesce(F.sum("n_slots"), F.lit(0))).first()[0]
     n_shards = pieces(int(total), shard_blocks)
 
     tagged = sized.join(goal, sized["source"].eqNullSafe(goal["source"])).select(
-        "doc_id", "size", "h", "sid", "source_size", "target",
+        "doc_id", "size", "h", "sid", "source_size", "target", "each",
         F.floor((F.col("h").cast("double") / 2.0**64 + 0.5) * F.col("ranges")).alias("range"))
     inside = Window.partitionBy("sid", "range").orderBy("h", F.col("doc_id").asc_nulls_last(), "size").rowsBetween(
         Window.unboundedPreceding, 0)
@@ -144,15 +149,15 @@ def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
               .select("sid", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")))
     placed = (tagged.withColumn("upto", F.sum("size").over(inside)).withColumn("nth", F.row_number().over(inside))
               .join(offset, ["sid", "range"])
-              .select(F.struct("sid", "range", "nth").alias("row"), "doc_id", "size", "sid", "source_size", "target",
+              .select(F.struct("sid", "range", "nth").alias("row"), "doc_id", "size", "sid", "source_size", "target", "each",
                       (F.col("offset") + F.col("upto") - F.col("size")).alias("start")))
     placed = written(placed, "mix-rows")
     lo, hi = F.col("start"), F.col("start") + F.col("size")
     parts = (placed.where("size > 0")
              .select("row", "sid", lo.alias("lo"), hi.alias("hi"),
-                     F.explode(F.sequence(F.floor(lo / block_words), F.floor((hi - 1) / block_words))).alias("block"))
-             .select("row", "sid", "block", (F.least("hi", (F.col("block") + 1) * block_words)
-                                             - F.greatest("lo", F.col("block") * block_words)).cast("long").alias("words")))
+                     "each", F.explode(F.sequence(F.floor(lo / F.col("each")), F.floor((hi - 1) / F.col("each")))).alias("block"))
+             .select("row", "sid", "block", (F.least("hi", (F.col("block") + 1) * F.col("each"))
+                                             - F.greatest("lo", F.col("block") * F.col("each"))).cast("long").alias("words")))
     per_source = goal.where("n_slots > 0").select("sid", F.col("sid").alias("key"), "n_blocks", "n_slots",
                                                   F.lit(n_shards).cast("long").alias("n_shards"))
     # one row per source and shard, dealt out anew: a source with a third of all slots is spread by shard;

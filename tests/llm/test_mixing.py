@@ -93,3 +93,15 @@ def test_edge_cases(edge, empty):
     assert all(r.taken == 0 and r["size"] == 0 for r in got if r.doc_id in (2, 3, 4))
     assert sum(r["size"] for r in got) == sum(len((r.text or "").encode().split()) for r in edge.collect())
     assert M.mix(empty).count() == 0
+
+
+def test_tiny_sources_come_near_their_targets(docs_of):
+    rng = np.random.default_rng(2)
+    rows = [(i, text(int(rng.integers(1, 60))), "en", f"host{i:03d}") for i in range(90)]
+    rows += [(100 + i, text(300), "en", f"more{i % 5}") for i in range(15)]
+    source, taken, target = {r[0]: r[3] for r in rows}, {}, {}
+    for r in M.mix(docs_of(rows)).collect():
+        s = source[r.doc_id]
+        taken[s], target[s] = taken.get(s, 0) + r.taken, r.target
+    assert len(taken) == 95
+    assert all(abs(taken[s] - target[s]) <= max(0.5, 1.5 / M.LEAST_SLOTS * target[s]) + 1e-6 for s in taken)
