@@ -479,10 +479,15 @@ def q_retrain_cycle(spark, sf):
                           F.lit(summary["promoted"]).cast("int").alias("promoted"))
 
 
+#: Bytes of messages in an incoming file. CSV with embedded newlines can't be split: a file is a task.
+INCOMING_FILE_BYTES = 64 << 20
+
+
 def _incoming_batch(spark, sf, folder: str, n_files: int = 4) -> None:
-    """Drop the unlabelled messages as CSV files (with embedded newlines)."""
+    """Drop the unlabelled messages as CSV files (with embedded newlines), ``n_files`` at least."""
     u = V.unlabelled(spark, sf).select("id", "keyword", "text")
-    u.repartition(n_files, "id").write.mode("overwrite").options(**WRITE_CSV).csv(folder)
+    size = u.agg(F.sum(F.coalesce(F.octet_length("keyword"), F.lit(0)) + F.coalesce(F.octet_length("text"), F.lit(0)))).first()[0]
+    u.repartition(max(n_files, -(-(size or 0) // INCOMING_FILE_BYTES)), "id").write.mode("overwrite").options(**WRITE_CSV).csv(folder)
 
 
 def fixed_model() -> TriageModel:
