@@ -13,7 +13,7 @@ which need no padding. A merge sees at most FAN * open_windows windows, whatever
 
 Token ids: where the tokenizer's rules say that no token spans white space and that white space is
 dropped, texts are cut at ASCII white space and the library encodes each different part once in a while
-(a bounded table per task); else it encodes whole texts.
+(a bounded table per worker); else it encodes whole texts.
 
 Defined cases: null and empty texts have the closing id alone; a very long text takes as many windows as it
 needs; repeated rows and doc_ids are packed one by one; a null doc_id is kept; doc_id keeps the input's
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json
 import os
+from array import array
 from functools import partial
 
 import numpy as np
@@ -43,8 +44,8 @@ CLOSING_ID = 2
 OPEN_WINDOWS = 16
 #: Partitions whose leftovers are merged together.
 FAN = 16
-#: Parts of texts whose ids are remembered in a task, and the longest of them.
-REMEMBERED, REMEMBERED_CHARS = 300_000, 64
+#: Parts of texts whose ids a worker remembers, and the longest of them.
+REMEMBERED, REMEMBERED_BYTES = 1_000_000, 64
 #: Text bytes handled at once, and closed sequences sent on at once.
 SLICE_BYTES, SENT = 4 << 20, 256
 
@@ -72,39 +73,75 @@ def white_space_apart(path: str) -> bool:
     return bool(plain and drops and free and rest and added and not spec.get("post_processor"))
 
 
+def lower_cased(path: str) -> bool:
+    """The tokenizer's file lower-cases texts before it cuts them."""
+    with open(path, encoding="utf-8") as f:
+        norm = json.load(f).get("normalizer") or {}
+    return any(s.get("type") == "Lowercase" for s in norm.get("normalizers", [norm]))
+
+
+#: Marks that the pre-tokenizer takes alone when one of them ends a part behind a letter.
+_MARKS = {b".", b",", b";", b":", b"!", b"?"}
+
+
 class Encoder:
-    """Little-endian unsigned 32-bit ids of texts, as bytes."""
+    """Little-endian unsigned 32-bit ids of UTF-8 texts, as bytes."""
 
-    def __init__(self, path: str, by_parts: bool):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.by_parts, self.seen = by_parts, {}
+        self.by_parts, self.lower, self.remembered = white_space_apart(path), lower_cased(path), remembered
+        self.seen: dict[bytes, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_parts:
-            return self._encode(texts)
-        parts = [_parts(t) for t in texts]
-        if len(self.seen) > REMEMBERED:
+            return self._encode([t.decode() for t in texts])
+        if len(self.seen) > self.remembered:
             self.seen.clear()
-        new = list({p for found in parts for p in found} - self.seen.keys())
-        own = dict(zip(new, self._encode(new)))
-        self.seen.update((p, ids) for p, ids in own.items() if len(p) <= REMEMBERED_CHARS)
-        known = self.seen if all(len(p) <= REMEMBERED_CHARS for p in new) else {**self.seen, **own}
-        return [b"".join(map(known.__getitem__, found)) for found in parts]
-
-
-_BLANKS = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
-
-
-def _parts(text: str) -> list[str]:
-    """Parts between ASCII white space; other white space stays for the library."""
-    return [p for p in text.translate(_BLANKS).split(" ") if p]
+        # split() of bytes: ASCII white space; other white space stays for the library
+        get = self.seen.get
+        parts = [t.split() for t in texts]
+        found = [list(map(get, p)) for p in parts]
+        new = {x for p, ids in zip(parts, found) if None in ids for x, i in zip(p, ids) if i is None}
+        get = self._learn(new).get
+        return [b"".join(map(get, p) if None in ids else ids) for p, ids in zip(parts, found)]
+
+    def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
+        """Parts that differ by a mark at the end, or by the case of ASCII letters, are encoded once."""
+        seen, lower, made, want = self.seen, self.lower, [], set()
+        for part in new:
+            word, mark = part, b""
+            if part[-1:] in _MARKS and part[:-1].decode()[-1:].isalpha():
+                word, mark = part[:-1], part[-1:]
+            if lower and word.isalpha():  # of bytes: ASCII letters only
+                word = word.lower()
+            made.append((part, word, mark))
+            want.add(word)
+            want.add(mark)
+        want = [x for x in want if x and x not in seen]
+        own = dict(zip(want, self._encode([x.decode() for x in want])))
+        own[b""] = b""
+        long = {}
+        for part, word, mark in made:
+            (seen if len(part) <= REMEMBERED_BYTES else long)[part] = (own[word] if word in own else seen[word]) + (own[mark] if mark in own else seen[mark])
+        return {**seen, **long} if long else seen
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder: what one task has learned serves the next."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 class Packer:
@@ -194,13 +231,13 @@ class _Rows:
             ["sequence_id", "part", "length", "pieces"])
 
 
-def _pack_documents(batches, path, by_parts, closing, capacity, open_windows):
-    encode, packer, rows = Encoder(path, by_parts), Packer(capacity, open_windows), None
+def _pack_documents(batches, path, closing, capacity, open_windows):
+    encode, packer, rows = encoder(path), Packer(capacity, open_windows), None
     end = np.array([closing], "<u4").tobytes()
     for batch in batches:
         rows = rows or _Rows(0, TaskContext.get().partitionId(), batch.column(0).type)
         for part in byte_slices(batch, 1, SLICE_BYTES):
-            texts = pc.fill_null(part.column(1), "").to_pylist()
+            texts = pc.fill_null(part.column(1).cast(pa.binary()), b"").to_pylist()
             for doc_id, ids in zip(part.column(0).to_pylist(), encode(texts)):
                 n = len(ids) // _ID_BYTES + 1
                 packer.place([(doc_id, 0, memoryview(ids + end), n)], n)
@@ -244,8 +281,8 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         df.write.option("compression", "zstd").parquet(f"{base}/{level}")
         return spark.read.schema(schema).parquet(f"{base}/{level}")
 
-    got = kept(src.mapInArrow(partial(_pack_documents, path=path, by_parts=white_space_apart(path), closing=closing,
-                                      capacity=capacity, open_windows=open_windows), schema), 0)
+    got = kept(src.mapInArrow(partial(_pack_documents, path=path, closing=closing, capacity=capacity,
+                                      open_windows=open_windows), schema), 0)
     done, level = got.where("part IS NULL"), 0
     while (most := got.agg(F.max("part")).first()[0]) is not None:
         level += 1
