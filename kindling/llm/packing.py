@@ -47,7 +47,7 @@ FAN = 16
 #: Parts of texts whose ids a worker remembers, and the longest of them.
 REMEMBERED, REMEMBERED_BYTES = 1_000_000, 64
 #: Text bytes handled at once, and closed sequences sent on at once.
-SLICE_BYTES, SENT = 4 << 20, 256
+SLICE_BYTES, SENT = 8 << 20, 256
 
 _ID_BYTES = 4
 
@@ -80,12 +80,35 @@ def lower_cased(path: str) -> bool:
     return any(s.get("type") == "Lowercase" for s in norm.get("normalizers", [norm]))
 
 
+def word_ends(path: str) -> np.ndarray:
+    """By id, whether a token ends a word; empty if the vocabulary does not mark ends of words."""
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    suffix, vocabulary = model.get("end_of_word_suffix"), model["vocab"]
+    if not suffix:
+        return np.zeros(0, bool)
+    out = np.zeros(max(vocabulary.values()) + 1, bool)
+    out[[k for t, k in vocabulary.items() if t.endswith(suffix)]] = True
+    return out
+
+
+def _byte_set(members: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(members)] = True
+    return out
+
+
+_SPACES = _byte_set(b" \t\n\x0b\x0c\r")
+_UPPER = _byte_set(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_LETTERS = _UPPER | _byte_set(b"abcdefghijklmnopqrstuvwxyz")
 #: Marks that the pre-tokenizer takes alone when one of them ends a part behind a letter.
-_MARKS = {b".", b",", b";", b":", b"!", b"?"}
+_MARKS = _byte_set(b".,;:!?")
+#: Words of letters that are encoded as one text.
+_JOINED = 200
 
 
 class Encoder:
-    """Little-endian unsigned 32-bit ids of UTF-8 texts, as bytes."""
+    """Little-endian unsigned 32-bit ids of UTF-8 texts."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -94,43 +117,73 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.by_parts, self.lower, self.remembered = white_space_apart(path), lower_cased(path), remembered
+        self.ends = word_ends(path)
         self.seen: dict[bytes, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_parts:
             return self._encode([t.decode() for t in texts])
         if len(self.seen) > self.remembered:
             self.seen.clear()
-        # split() of bytes: ASCII white space; other white space stays for the library
-        get = self.seen.get
-        parts = [t.split() for t in texts]
-        found = [list(map(get, p)) for p in parts]
-        new = {x for p, ids in zip(parts, found) if None in ids for x, i in zip(p, ids) if i is None}
-        get = self._learn(new).get
-        return [b"".join(map(get, p) if None in ids else ids) for p, ids in zip(parts, found)]
-
-    def _learn(self, new: set[bytes]) -> dict[bytes, bytes]:
-        """Parts that differ by a mark at the end, or by the case of ASCII letters, are encoded once."""
-        seen, lower, made, want = self.seen, self.lower, [], set()
-        for part in new:
-            word, mark = part, b""
-            if part[-1:] in _MARKS and part[:-1].decode()[-1:].isalpha():
-                word, mark = part[:-1], part[-1:]
-            if lower and word.isalpha():  # of bytes: ASCII letters only
-                word = word.lower()
-            made.append((part, word, mark))
-            want.add(word)
-            want.add(mark)
-        want = [x for x in want if x and x not in seen]
-        own = dict(zip(want, self._encode([x.decode() for x in want])))
-        own[b""] = b""
-        long = {}
-        for part, word, mark in made:
-            (seen if len(part) <= REMEMBERED_BYTES else long)[part] = (own[word] if word in own else seen[word]) + (own[mark] if mark in own else seen[mark])
-        return {**seen, **long} if long else seen
+        coded, ends = self._words(texts)
+        words = coded.dictionary.to_pylist()
+        ids = list(map(self.seen.get, words))
+        if None in ids:
+            own = self._learn([w for w, x in zip(words, ids) if x is None])
+            ids = [own[w] if x is None else x for w, x in zip(words, ids)]
+        # every word's ids, gathered from those of the different words
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // _ID_BYTES
+        flat, begins = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes, dtype=np.int32) - sizes
+        codes = coded.indices.to_numpy()
+        taken = sizes[codes]
+        after = np.cumsum(taken)
+        place = np.repeat((begins[codes] - (after - taken)).astype(np.int32), taken)
+        place += np.arange(len(place), dtype=np.int32)
+        got = flat[place]
+        cuts = np.concatenate(([0], after))[ends]
+        return [got[a:b].tobytes() for a, b in zip(np.concatenate(([0], cuts[:-1])).tolist(), cuts.tolist())]
+
+    def _words(self, texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+        """The parts between ASCII white space of all texts, and how many there are up to each text's end. A mark
+        behind an ASCII letter is a part of its own, and parts of ASCII letters are lower-cased if the library does."""
+        data = np.frombuffer(b"".join(t + b"\n" for t in texts), np.uint8)
+        text_ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+        space, letter = _SPACES[data], _LETTERS[data]
+        first = ~space
+        first[1:] &= space[:-1]
+        alone = _MARKS[data]
+        alone[1:] &= letter[:-1]
+        alone[:1] = False
+        alone[:-1] &= space[1:]  # the last byte is a line end
+        first |= alone
+        starts = np.flatnonzero(first)
+        kept = data[~space]
+        at = np.cumsum(~space)[starts] - 1 if len(starts) else starts
+        offsets = np.append(at, len(kept))
+        if self.lower and len(starts):
+            plain = np.add.reduceat(_LETTERS[kept].astype(np.int64), at) == np.diff(offsets)
+            kept = kept + 32 * (np.repeat(plain, np.diff(offsets)) & _UPPER[kept]).astype(np.uint8)
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(kept)])
+        return words.dictionary_encode(), np.searchsorted(starts, text_ends)
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of new parts. Parts of letters are one word each to the library, so many make one text, which is
+        cut behind the tokens that end a word."""
+        own = {}
+        letters = [w for w in new if w.decode().isalpha()] if len(self.ends) else []
+        groups = [letters[k: k + _JOINED] for k in range(0, len(letters), _JOINED)]
+        for group, ids in zip(groups, self._encode([b" ".join(g).decode() for g in groups])):
+            cuts = (np.flatnonzero(self.ends[np.frombuffer(ids, "<u4")]) + 1) * _ID_BYTES
+            if len(cuts) == len(group) and cuts[-1] == len(ids):
+                cuts = [0, *cuts.tolist()]
+                own.update((w, ids[a:b]) for w, a, b in zip(group, cuts, cuts[1:]))
+        rest = [w for w in new if w not in own]
+        own.update(zip(rest, self._encode([w.decode() for w in rest])))
+        self.seen.update((w, ids) for w, ids in own.items() if len(w) <= REMEMBERED_BYTES)
+        return own
 
 
 _ENCODERS: dict[str, Encoder] = {}
