@@ -1,0 +1,121 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from kindling.llm import merkle as M
+
+
+def h(*x):
+    return hashlib.sha256("".join(x).encode()).hexdigest()
+
+
+def enc(v):
+    return "-" if v is None else f"{len(str(v).encode())}:{v}"
+
+
+def climb(nodes, fanout):
+    """Levels of a tree, plainly."""
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        cur = levels[-1]
+        levels.append([h(*cur[k:k + fanout]) for k in range(0, len(cur), fanout)])
+    return levels
+
+
+def path(levels, k, fanout):
+    out = []
+    for cur in levels[:-1]:
+        run = cur[k // fanout * fanout: k // fanout * fanout + fanout]
+        out.append((k % fanout, run[: k % fanout] + run[k % fanout + 1:]))
+        k //= fanout
+    return out
+
+
+def brute(rows, fanout=8):
+    """rows: (tree or None, id, leaf) -> sorted (id, leaf, subroot, root, witness)."""
+    trees = {}
+    for t, i, leaf in rows:
+        trees.setdefault(t, []).append((i is not None, i if i is not None else 0, leaf))
+    order = sorted(trees, key=lambda t: (t is not None, (t or "").encode()))
+    levels = {t: climb([x[2] for x in sorted(trees[t])], fanout) for t in order}
+    top = climb([levels[t][-1][0] for t in order], fanout)
+    out = []
+    for n, t in enumerate(order):
+        for k, (known, i, leaf) in enumerate(sorted(trees[t])):
+            w = path(levels[t], k, fanout) + path(top, n, fanout)
+            out.append((i if known else None, leaf, levels[t][-1][0], top[-1][0], w))
+    return out
+
+
+def rows_of(df):
+    return [(r.id, r.leaf, r.subroot, r.root, list(zip(r.places, r.siblings))) for r in df.collect()]
+
+
+def test_edge_cases_match_brute_force(edge):
+    rows = edge.select("doc_id", "source", "lang", "n_chars", "text").collect()
+    want = brute([(r.lang, r.doc_id, h(*map(enc, r))) for r in rows])
+    assert sorted(rows_of(M.manifest(edge)), key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("fanout,levels,n,trees", [(2, 2, 37, 3), (3, 2, 10, 12), (8, 4, 4097, 1)])
+def test_many_blocks_match_brute_force(spark, fanout, levels, n, trees):
+    rnd = random.Random(n)
+    rows = [(f"t{t}", rnd.randint(0, n), h(str(t), str(k))) for t in range(trees) for k in range(n + t)]
+    leaves = spark.createDataFrame([(f"={t}", i, d) for t, i, d in rows], "tree string, id long, digest string").repartition(5)
+    got = M.witnesses(leaves, ["id"], fanout, levels).withColumnRenamed("digest", "leaf")
+    assert sorted(rows_of(got), key=repr) == sorted(brute(rows, fanout), key=repr)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 8, 9, 63, 64, 65])
+def test_appender_is_the_plain_tree(n):
+    nodes = [h(str(k)) for k in range(n)]
+    stream = M.Appender(8)
+    for x in nodes:
+        stream.append(x)
+    if n:
+        levels = climb(nodes, 8)
+        assert stream.close() == levels[-1][0]
+        assert stream.witnesses == [path(levels, k, 8) for k in range(n)]
+
+
+def test_a_witness_grows_while_runs_complete():
+    stream = M.Appender(2)
+    sizes = []
+    for k in range(4):
+        stream.append(h(str(k)))
+        sizes.append([len(w) for w in stream.witnesses])
+    assert sizes == [[0], [1, 1], [1, 1, 0], [2, 2, 2, 2]]
+
+
+def test_query_detects_exactly_the_changed_rows(spark):
+    docs = {r.doc_id: r for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = M.op13_merkle(spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len(docs) and len({r.root for r in got}) == 1
+    for r in got:
+        text = docs[r.doc_id].text
+        changed = zlib.crc32(str(r.doc_id).encode()) % 3 == 0 and text is not None and any("A" <= c <= "Z" for c in text)
+        assert r.verified == (not changed) == (r.folded_root == r.root)
+
+
+def test_repeated_rows_and_a_hot_id(docs_of):
+    rows = [(1, "same", "en", "s")] * 700 + [(None, None, None, None)] * 90 + [(1, f"t{k}", "en", "s") for k in range(50)]
+    df = docs_of(rows)
+    want = brute([(r.lang, r.doc_id, h(*map(enc, r))) for r in df.select("doc_id", "source", "lang", "n_chars", "text").collect()])
+    assert sorted(rows_of(M.manifest(df)), key=repr) == sorted(want, key=repr)
+
+
+def test_empty_and_clashing_names(empty, spark):
+    assert M.manifest(empty).count() == 0
+    leaves = spark.createDataFrame([("=a", 1, "x", "y")], "tree string, id long, digest string, root string")
+    with pytest.raises(ValueError):
+        M.witnesses(leaves, ["id"])
+
+
+def test_string_ids(spark):
+    docs = spark.createDataFrame([("b", "x"), ("a", "y"), ("c", None)], "doc_id string, text string")
+    got = M.manifest(docs.withColumn("lang", F.lit("en")), columns=("doc_id", "text"))
+    want = brute([("en", i, h(enc(i), enc(t))) for i, t in [("b", "x"), ("a", "y"), ("c", None)]])
+    assert sorted(r.root for r in got.collect()) == [w[3] for w in want]

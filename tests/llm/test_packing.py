@@ -1,0 +1,122 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from kindling.llm import packing as K
+
+PATH = public_tokenizers.path(K.VOCABULARY)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def ids_of(library, text):
+    return [*library.encode(text or "", add_special_tokens=False).ids, K.CLOSING_ID]
+
+
+def check(df, library, capacity=K.CAPACITY, **args):
+    """Pieces round-trip to every row's ids; sequences are gapless, within capacity, and not padded."""
+    rows = df.select("doc_id", "text").collect()
+    sequences = K.pack(df, PATH, capacity=capacity, **args).collect()
+    assert len({s.sequence_id for s in sequences}) == len(sequences)
+    by = defaultdict(list)
+    for s in sequences:
+        at = 0
+        for p in sorted(s.pieces, key=lambda p: p.offset):
+            ids = np.frombuffer(p.ids, "<u4").tolist()
+            assert p.offset == at and ids
+            at += len(ids)
+            by[p.doc_id].append((p.start, ids, p.doc_tokens))
+        assert at == s.length <= capacity
+        assert at == capacity or at & (at - 1) == 0
+    want = defaultdict(list)
+    for r in rows:
+        want[r.doc_id].append(ids_of(library, r.text))
+    assert by.keys() == want.keys()
+    for doc_id, texts in want.items():
+        assert sorted(i for _, ids, _ in by[doc_id] for i in ids) == sorted(i for ids in texts for i in ids)
+        if len(texts) == 1:
+            got = sorted(by[doc_id])
+            assert [i for _, ids, _ in got for i in ids] == texts[0]
+            assert [s for s, _, _ in got] == list(np.cumsum([0] + [len(ids) for _, ids, _ in got])[:-1])
+        assert {n for _, _, n in by[doc_id]} == {len(t) for t in texts}
+    return sequences
+
+
+def test_edge_cases(edge, library):
+    check(edge, library)
+
+
+@pytest.mark.parametrize("capacity,windows,fan", [(64, 2, 2), (100, 3, 2), (1, 1, 2)])
+def test_small_windows_and_many_merges(docs_of, library, capacity, windows, fan):
+    rnd = random.Random(3)
+    rows = [(k, " ".join(rnd.choices("alpha beta gamma delta, epsilon; zeta".split(), k=rnd.randint(0, 60))), "en", "s") for k in range(200)]
+    check(docs_of(rows).repartition(9), library, capacity, open_windows=windows, fan=fan)
+
+
+def test_driver_rows_and_the_query(spark, library):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    check(docs, library)
+    got = defaultdict(list)
+    for r in K.op11_packing(spark, "/root/testdata/sf0.001").collect():
+        got[r.doc_id].append(r)
+    for d in docs.collect():
+        ids = np.array(ids_of(library, d.text), "<u4")
+        for r in got[d.doc_id]:
+            assert r.ids_crc32 == zlib.crc32(ids[r.start: r.start + r.length].tobytes())
+            assert r.doc_tokens == len(ids)
+
+
+def test_parts_have_the_ids_of_whole_texts(library):
+    rnd = random.Random(11)
+    letters = list("abzABZ  \n\t\r\x0b\x0c\x1c\x1d'sdt.,;:!?#09éÉßİΣς½²") + ["\x85", "\xa0", " ", "　", "一", "😀", "é", "́", "<|endoftext|>", "<|ENDOFTEXT|>", "'s", "'S"]
+    texts = ["".join(rnd.choices(letters, k=rnd.randint(0, 40))) for _ in range(4000)]
+    texts += ["a" * 5_000, "x." * 900, "word,", "Word.", "WORD!", ".", "''s", "don't,", "é,", "é,", "1,", "it's.", "ΑΣ, ΑΣ"]
+    encode = K.Encoder(PATH, remembered=50)
+    assert encode.by_parts
+    for _ in range(2):
+        got = [np.frombuffer(x, "<u4").tolist() for k in range(0, len(texts), 500) for x in encode([t.encode() for t in texts[k: k + 500]])]
+        assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_other_tokenizers_get_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert not K.white_space_apart(path)
+    texts = ["a  b\n c ", "", "x " * 50]
+    want = [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in K.Encoder(path)([t.encode() for t in texts])] == want
+
+
+def unit(k, n):
+    return [(k, 0, bytes(4 * n), n)]
+
+
+def test_best_fit_then_the_fullest_goes():
+    p = K.Packer(10, 2)
+    p.place(unit(1, 7), 7)      # opens a window, room 3
+    p.place(unit(2, 4), 4)      # opens a window, room 6
+    p.place(unit(3, 2), 2)      # the least room that holds it: the first
+    assert [w[0] for w in p.open] == [1, 6] and not p.closed
+    p.place(unit(4, 6), 6)      # exactly fills the second, which goes
+    assert [x[0] for x in p.closed[0]] == [2, 4] and [w[0] for w in p.open] == [1]
+    p.place(unit(5, 5), 5)
+    p.place(unit(6, 8), 8)      # none fits: the fullest is topped off with one id, the rest opens a window
+    assert [(x[0], x[1], len(x[2]) // 4) for x in p.closed[1]] == [(1, 0, 7), (3, 0, 2), (6, 0, 1)]
+    assert [w[0] for w in p.open] == [5, 3]
+    assert p.open[1][1][0][:2] == (6, 1)
+
+
+def test_empty(empty):
+    assert K.pack(empty, PATH).count() == 0
+
+
+def test_wrong_parameters(empty):
+    with pytest.raises(ValueError):
+        K.pack(empty, PATH, open_windows=0)
