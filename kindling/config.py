@@ -58,9 +58,6 @@ TFIDF_NGRAM_MAX = 2
 TFIDF_MIN_DF = 2
 
 LR_C = 1.0
-LR_MAX_ITER = 1000
-# ours: relative objective change at which L-BFGS stops (Spark default)
-LR_TOL = 1e-6
 
 DECISION_THRESHOLD = 0.5
 KS_P_VALUE_THRESHOLD = 0.05
@@ -82,8 +79,5 @@ STAMP_FORMAT = "yyyyMMdd'T'HHmmss'Z'"
 PREFIX_BUCKET_ROWS = 100_000
 # Hex digits of md5 used as a uniform bucket for exact ranked cuts.
 RANK_BUCKET_HEX = 4
-# Bytes of written feature vectors per task when fitting the classifier (one
-# distributed pass per iteration).
-FIT_BYTES_PER_PARTITION = 64 << 20
 # Upper bound (bytes, planner's estimate) for a side that we broadcast.
 BROADCAST_BYTES_LIMIT = 8 << 20

@@ -8,14 +8,14 @@ intercept: regParam = 1 / n_train, no standardisation.
 
 Scoring (``score``) is one code path for batch and streaming DataFrames:
 featurise -> represent -> probability -> label, appended to the original
-columns.
+columns. ``kindling.operators.stages`` has the same steps as Spark ML stages.
 """
 from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +23,12 @@ from pyspark.sql import functions as F
 
 from kindling import config as C
 from kindling.operators import features as fe
+from kindling.operators import newton
 from kindling.operators.embed import l2_normalize
 from kindling.operators.scaler import Scaler
+from kindling.operators.stages import logistic_model
 from kindling.operators.tfidf import TfidfModel, vocabulary
+from kindling.operators.vectors import VECTOR_STRUCT, vector_entries, vector_width, written_vectors
 from kindling.session import materialize
 
 SCALED = [f"scaled_{f}" for f in C.FEATURE_COLUMNS]
@@ -125,13 +128,6 @@ class CandidateRepresentation:
 # ---------------------------------------------------------------------------
 # classifier + scoring
 # ---------------------------------------------------------------------------
-def make_classifier(n_train: int) -> LogisticRegression:
-    return LogisticRegression(
-        featuresCol="features", labelCol="_y", regParam=C.LR_C / max(n_train, 1),
-        elasticNetParam=0.0, standardization=False, fitIntercept=True,
-        maxIter=C.LR_MAX_ITER, tol=C.LR_TOL)
-
-
 @dataclass
 class TriageModel:
     representation: object
@@ -162,20 +158,13 @@ class TriageModel:
 
 def fit(representation, train: DataFrame, target_col: str = "target", id_col: str = "id") -> TriageModel:
     """Fit the representation, write the training vectors once in parallel, then
-    run L-BFGS over that table. Its tasks follow the written bytes (one distributed
-    pass per iteration); cleaning and vectorising keep the input's parallelism."""
-    spark = train.sparkSession
+    minimise over that table. Its tasks follow the written bytes; cleaning and
+    vectorising keep the input's parallelism."""
     representation.fit(train, id_col)
-    vectors = materialize(representation.transform(train).select(
-        F.col(target_col).cast("double").alias("_y"), "features"), "fit-vectors")
-    n_train = vectors.count()   # from the file footers
-    size = int(vectors._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    want = max(1, -(-size // C.FIT_BYTES_PER_PARTITION))
-    data = vectors.coalesce(want) if vectors.rdd.getNumPartitions() > want else vectors
-    clf = make_classifier(n_train).fit(data)
-    history = list(clf.summary.objectiveHistory) if clf.hasSummary else []
-    meta = {"n_train": n_train, "name": representation.name, "iterations": max(0, len(history) - 1)}
-    return TriageModel(representation, clf, meta)
+    vectors = written_vectors(representation.transform(train), target_col, "features")
+    found = newton.minimise(vectors, vector_width(vectors), 1 / C.LR_C)
+    meta = {"n_train": vectors.count(), "name": representation.name, "passes": found.passes, "max_gradient": found.max_gradient}
+    return TriageModel(representation, logistic_model(found.coefficients, found.intercept), meta)
 
 
 def gradient_norm(model: TriageModel, train: DataFrame, target_col: str = "target") -> DataFrame:
@@ -185,28 +174,17 @@ def gradient_norm(model: TriageModel, train: DataFrame, target_col: str = "targe
         F.col(target_col).cast("double").alias("_y"), "features")
     scored = model.classifier.transform(rows)
     residual = vector_to_array("probability").getItem(1) - F.col("_y")
-    sums = vector_entries(scored.withColumn("r", residual), "r", "features").groupBy("idx").agg(
-        F.sum(F.col("r") * F.col("value")).alias("g"))
-    n = train.count()
+    written = materialize(scored.select(residual.alias("r"), "features"), "residuals", schema=f"r double, features {VECTOR_STRUCT}")
+    sums = vector_entries(written, "r", "features").groupBy("idx").agg(F.sum(F.col("r") * F.col("value")).alias("g"))
+    n = written.count()   # from the file footers
     coefficients = train.sparkSession.createDataFrame(
         [(k, float(w)) for k, w in enumerate(model.classifier.coefficients.toArray())], "idx int, w double")
     slopes = coefficients.join(sums, "idx", "left").select(
         (F.coalesce(F.col("g"), F.lit(0.0)) / n + F.col("w") * (C.LR_C / n)).alias("g"))
-    intercept = scored.agg((F.sum(residual) / n).alias("g"))
+    intercept = written.agg((F.sum("r") / n).alias("g"))
     return slopes.unionByName(intercept).agg(F.lit(n).cast("long").alias("n"), F.max(F.abs("g")).alias("max_gradient"))
 
 
-def vector_entries(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(key, idx, value): non-zero entries of a vector column. Spark has no
-    expression for a sparse vector's entries, hence the small row function."""
-    @F.udf("array<struct<idx:int,value:double>>")
-    def entries(v):
-        found = zip(v.indices, v.values) if hasattr(v, "indices") else enumerate(v.toArray())
-        return [(int(i), float(x)) for i, x in found if x]
-
-    return df.select(key, F.explode(entries(vector)).alias("_e")).select(key, "_e.idx", "_e.value")
-
-
 def model_features(df: DataFrame) -> DataFrame:
     return fe.ensure_features(df)
 

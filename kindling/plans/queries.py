@@ -22,12 +22,13 @@ from kindling.operators.embed import l2_normalize
 from kindling.operators.metrics import (compare, confusion, metrics_by_split, metrics_long,
                                         roc_auc, verdict)
 from kindling.operators.model import (BaselineRepresentation, LinearClassifier, PlainFeatures, TriageModel, fit,
-                                      gradient_norm, linear_score, vector_entries)
+                                      gradient_norm, linear_score)
 from kindling.operators.retrain import expanded_train, union_with_order
 from kindling.operators.scaler import Scaler, scaler_stats
 from kindling.operators.split import order_key, stratified_split
 from kindling.operators.summary import class_distribution, feature_summary, order_statistics
 from kindling.operators.tfidf import term_counts, vocabulary, weights
+from kindling.operators.vectors import VECTOR_STRUCT, vector_entries
 from kindling.plans import jobs as J
 from kindling.plans import views as V
 from kindling.session import materialize, work_dir
@@ -38,7 +39,7 @@ from kindling.streaming.prediction_log import read_log, start_log_stream
 Q = {}
 
 #: Largest partial derivative of the mean loss that counts as converged.
-MAX_GRADIENT = 1e-3
+MAX_GRADIENT = 1e-8
 
 
 def register(name):
@@ -415,7 +416,8 @@ def q_feature_matrix(spark, sf):
     """(id, idx, value): non-zero entries of the baseline's feature vectors."""
     split = frozen_split(spark, sf)
     rep = BaselineRepresentation().fit(split.where(F.col("split") == "train"))
-    return vector_entries(rep.transform(split), "id", "features").select("id", "idx", r6(F.col("value")).alias("value"))
+    rows = materialize(rep.transform(split).select("id", "features"), "vectors", schema=f"id long, features {VECTOR_STRUCT}")
+    return vector_entries(rows, "id", "features").select("id", "idx", r6(F.col("value")).alias("value"))
 
 
 def with_vectors(spark, sf) -> DataFrame:

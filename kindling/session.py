@@ -77,12 +77,13 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, schema=None) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it
-    back: one job, lineage cut, and the files survive executor loss."""
+    back: one job, lineage cut, and the files survive executor loss. ``schema``
+    reads the files by other types that fit them."""
     path = work_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
 def clean_up(spark: SparkSession) -> int:
