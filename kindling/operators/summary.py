@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindling.operators.prefix import running_sums, value_at_rank
+from kindling.operators.select import moments, ranked_values, wide
 from kindling.session import join_null_safe, reuse
 
 
@@ -25,68 +25,36 @@ def value_counts(long: DataFrame, group_cols: list[str], value: str = "value") -
         F.count("*").alias("c"))
 
 
-def exact_quantiles(counts: DataFrame, group_cols: list[str], qs: dict[str, float],
-                    value: str = "value") -> DataFrame:
-    """Exact linear-interpolated quantiles (numpy/pandas default) per group,
-    from per-value counts and a distributed running count - no group is ever
-    gathered into one task."""
-    cum = running_sums(counts, group_cols, value, ["c"])
-    n1 = F.col("total_c") - 1
-    ranks = {}
-    for name, q in qs.items():
-        pos = F.lit(q) * n1
-        ranks[f"_{name}_lo"] = F.floor(pos)
-        ranks[f"_{name}_hi"] = F.ceil(pos)
-    picked = cum.groupBy(*group_cols).agg(
-        *[F.min(F.when(F.col("cum_c") > r, F.col(value))).alias(k) for k, r in ranks.items()],
-        F.first("total_c").alias("_n"))
-    cols = []
-    for name, q in qs.items():
-        pos = F.lit(q) * (F.col("_n") - 1)
-        lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
-        cols.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return picked.select(*group_cols, *cols)
-
-
 def feature_summary(df: DataFrame, features: list[str]) -> DataFrame:
-    """count, mean, std (ddof 1), min, 25/50/75 % (linear), max per feature.
+    """count, mean, std (ddof 1), min, 25/50/75 % (linear), max per feature. A feature
+    without a value has no row.
 
-    Everything comes from one (feature, value, count) table, so the input is
-    read once: moments are exact sums over distinct values (two passes for
-    the variance), quantiles use the distributed running count."""
-    counts = reuse(value_counts(to_long(df, features), ["feature"]))
-    c, v = F.col("c"), F.col("value")
-    first = counts.groupBy("feature").agg(
-        F.sum(c).alias("count"), (F.sum(c * v) / F.sum(c)).alias("mean"),
-        F.min(v).alias("min"), F.max(v).alias("max"))
-    # one row per feature (bounded by the feature list)
-    centred = counts.join(F.broadcast(first.select("feature", "mean")), "feature", "inner")
-    ss = centred.groupBy("feature").agg(
-        F.sum(c * (v - F.col("mean")) * (v - F.col("mean"))).alias("_ss"))
-    moments = first.join(ss, "feature", "inner").select(
-        "feature", "count", "mean",
-        F.when(F.col("count") > 1, F.sqrt(F.col("_ss") / (F.col("count") - 1))).alias("std"),
-        "min", "max")
-    quant = exact_quantiles(counts, ["feature"], {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    return moments.join(quant, "feature", "left")
+    The feature columns are written once, so the work above them is done once;
+    moments and quantiles come from radix histograms over that table."""
+    long = to_long(reuse(df.select(*features)), features)
+    qs = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    ranks = {f"{k}_{end}": cut(F.lit(q) * (F.col("n") - 1)) for k, q in qs.items() for end, cut in (("lo", F.floor), ("hi", F.ceil))}
+    found, first = ranked_values(long, ["feature"], "value", ranks)
+    got = moments(first, ["feature"]).join(wide(found, ["feature"], list(ranks)), "feature", "left")
+    part = {k: F.lit(q) * (F.col("n") - 1) - F.floor(F.lit(q) * (F.col("n") - 1)) for k, q in qs.items()}
+    return got.select("feature", F.col("n").alias("count"), "mean", "std", "min", "max",
+                      *[(F.col(f"{k}_lo") + (F.col(f"{k}_hi") - F.col(f"{k}_lo")) * part[k]).alias(k) for k in qs])
 
 
 def order_statistics(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
     """n/avg/min/max and p50/p95/p99 = sorted value at 0-based index
     floor(q*n) (p99 clamped to n-1), per group. A group without a value has a
-    row with n = 0 and nulls. One scan: all comes from the value counts."""
-    counts = reuse(df.groupBy(group_col, value_col).agg(F.count("*").alias("c")))
-    cum = running_sums(counts, [group_col], value_col, ["c"])
-    n = F.col("total_c")
+    row with n = 0 and nulls. ``df`` is read once a pass."""
+    n = F.col("n")
     ranks = {
         "p50": F.floor(F.lit(0.5) * n),
         "p95": F.floor(F.lit(0.95) * n),
         "p99": F.least(F.floor(F.lit(0.99) * n), n - 1),
     }
-    picked = value_at_rank(cum, [group_col], value_col, "c", ranks)
-    v = F.col(value_col)
-    held = F.when(v.isNotNull(), F.col("c")).otherwise(0)
-    moments = counts.groupBy(group_col).agg(
-        F.sum(held).alias("n"), F.try_divide(F.sum(v * F.col("c")), F.sum(held)).alias("avg"),
-        F.min(v).alias("min"), F.max(v).alias("max"))
-    return join_null_safe(moments, picked, [group_col], "left")
+    found, first = ranked_values(df, [group_col], value_col, ranks)
+    held = moments(first, [group_col]).select(group_col, "n", F.col("mean").alias("avg"), "min", "max")
+    held = join_null_safe(held, wide(found, [group_col], list(ranks)), [group_col], "left")
+    groups = df.select(group_col).distinct()
+    kind = df.schema[value_col].dataType
+    return join_null_safe(groups, held, [group_col], "left").select(
+        group_col, F.coalesce("n", F.lit(0)).cast("long").alias("n"), "avg", *[F.col(c).cast(kind).alias(c) for c in ("min", "max", *ranks)])
