@@ -30,6 +30,7 @@ from kindling.operators.stages import logistic_model
 from kindling.operators.tfidf import TfidfModel, vocabulary
 from kindling.operators.vectors import VECTOR_STRUCT, vector_entries, vector_width, written_vectors
 from kindling.session import materialize
+from kindling.sources.commit_log import CommitLog
 
 SCALED = [f"scaled_{f}" for f in C.FEATURE_COLUMNS]
 
@@ -218,46 +219,21 @@ def save_model(spark: SparkSession, model: TriageModel, path: str) -> str:
     return path
 
 
-def _file_system(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """The version that the root's commit log names last, None without an entry."""
+    _, entry = CommitLog(spark, root).latest()
+    return entry and entry["version"]
 
 
-def current_version(spark: SparkSession, root: str) -> str | None:
-    """The version that ``root/CURRENT`` names, None without that file."""
-    p, fs = _file_system(spark, f"{root}/CURRENT")
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        jvm = spark.sparkContext._jvm
-        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-    finally:
-        stream.close()
-
-
-def point_to(spark: SparkSession, root: str, version: str) -> None:
-    """Make ``version`` the current one: a new pointer file replaces the old one
-    after the version is complete, so a failure leaves one or the other."""
-    new, fs = _file_system(spark, f"{root}/CURRENT.{version}")
-    stream = fs.create(new, True)
-    stream.write(bytearray(version.encode()))
-    stream.close()
-    now, _ = _file_system(spark, f"{root}/CURRENT")
-    if fs.exists(now):
-        fs.delete(now, False)
-    if not fs.rename(new, now):
-        raise OSError(f"can't move the pointer of {root} to {version}")
+def promote(spark: SparkSession, root: str, version: str, based_on: int, **more) -> int:
+    """Make a complete ``version`` the current one, if the log still ends at entry ``based_on``; else
+    ``Conflict``. ``more`` is kept in the entry."""
+    return CommitLog(spark, root).commit({"version": version, **more}, based_on)
 
 
 def resolved(spark: SparkSession, root: str) -> str:
-    """The folder of the current version, or ``root`` itself if it has no versions.
-    Without a pointer the newest pointer that was being put in place counts."""
+    """The folder of the current version, or ``root`` itself if it has no versions."""
     version = current_version(spark, root)
-    if version is None and path_exists(spark, root):
-        p, fs = _file_system(spark, root)
-        left = sorted(str(s.getPath().getName()) for s in fs.listStatus(p) if str(s.getPath().getName()).startswith("CURRENT."))
-        version = left[-1].removeprefix("CURRENT.") if left else None
     return f"{root}/versions/{version}" if version else root
 
 

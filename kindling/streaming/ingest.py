@@ -9,12 +9,15 @@ source checkpoint is the exactly-once record of consumed files: a rerun with
      columns by position under a fixed schema, so this is required);
   2. files without a ``text`` column, and malformed rows, go to the rejects;
   3. scores rows with the shared scoring path (same as batch / single text);
-  4. writes scored rows, per-file (rows, flagged) counts, rejects and the list
-     of consumed files, each under a ``batch_id`` folder with overwrite - a
-     replayed batch rewrites the same folders, so every output is idempotent.
-
-Consumed files are moved to ``processed_dir`` only after the micro-batch is
-committed; until then a replay finds them in place.
+  4. writes scored rows, per-file (rows, flagged) counts and rejects, each under
+     a ``batch_id`` folder with overwrite - a replayed batch rewrites the same
+     folders, so every output is idempotent.
+
+The micro-batch is committed by an entry of the output's commit log, put under its
+number once all outputs are complete; it names the consumed files and is what
+``run_ingestion`` goes by. A replay finds the entry and changes nothing. Files
+are moved to ``processed_dir`` only after that; until then a replay finds them
+in place.
 """
 from __future__ import annotations
 
@@ -23,11 +26,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kindling import config as C
-from kindling.operators.model import path_exists
+from kindling.sources.commit_log import CommitLog, Conflict
 from kindling.sources.files import REJECTED_ROWS, read_csvs
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 READ_BACK = {"header": "true", "multiLine": "true", "escape": '"'}
+#: Added to the output's folder name: the folder of its commit log.
+LOG = "_commits"
 # cells keep the white space around them
 WRITE_CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
@@ -50,7 +55,7 @@ def score_files(spark: SparkSession, paths: list[str], model) -> tuple[DataFrame
     return (None if rows is None else model.score(rows)), rejects, bad
 
 
-def make_batch_writer(model, triaged_dir: str, rejects_dir: str, summary_dir: str, consumed_dir: str):
+def make_batch_writer(model, triaged_dir: str, rejects_dir: str, summary_dir: str):
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # file paths only: bounded by maxFilesPerTrigger
@@ -73,13 +78,18 @@ def make_batch_writer(model, triaged_dir: str, rejects_dir: str, summary_dir: st
              .withColumn("output", F.concat(F.lit(f"{triaged_dir}/{here}/source_file="), "source_file"))
              .write.mode("overwrite").parquet(f"{summary_dir}/{here}"))
         rejected = {p for p, _ in rejects}
-        spark.createDataFrame([(p,) for p in paths if p not in rejected], "path string").coalesce(1) \
-            .write.mode("overwrite").parquet(f"{consumed_dir}/{here}")
+        entry = {"consumed": [p for p in paths if p not in rejected], "rejected": sorted(rejected), "scored": scored is not None}
+        log = CommitLog(spark, triaged_dir + LOG)
+        try:
+            log.put(batch_id, entry)
+        except Conflict:   # replayed: the entry must be this batch's own
+            if log.read(batch_id) != entry:
+                raise
     return process
 
 
-def _dirs(triaged_dir: str, rejects_dir: str | None, summary_dir: str | None) -> tuple[str, str, str]:
-    return rejects_dir or f"{triaged_dir}_rejects", summary_dir or f"{triaged_dir}_summary", f"{triaged_dir}_consumed"
+def _dirs(triaged_dir: str, rejects_dir: str | None, summary_dir: str | None) -> tuple[str, str]:
+    return rejects_dir or f"{triaged_dir}_rejects", summary_dir or f"{triaged_dir}_summary"
 
 
 def start_ingest(spark: SparkSession, incoming_dir: str, triaged_dir: str, checkpoint_dir: str,
@@ -94,20 +104,12 @@ def start_ingest(spark: SparkSession, incoming_dir: str, triaged_dir: str, check
     return w.start()
 
 
-def _batches(spark: SparkSession, folder: str) -> set[int]:
-    if not path_exists(spark, folder):
-        return set()
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    names = [str(s.getPath().getName()) for s in
-             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
-    return {int(n.partition("=")[2]) for n in names if n.startswith("batch_id=")}
-
-
 def move_consumed(spark: SparkSession, triaged_dir: str, processed_dir: str, batches: set[int]) -> None:
     """Move the files of committed micro-batches out of the incoming folder."""
+    log = CommitLog(spark, triaged_dir + LOG)
     for k in sorted(batches):
-        for r in spark.read.parquet(f"{triaged_dir}_consumed/batch_id={k}").collect():   # paths of one batch
-            _move(spark, r["path"], processed_dir)
+        for path in (log.read(k) or {}).get("consumed", []):
+            _move(spark, path, processed_dir)
 
 
 def run_ingestion(spark: SparkSession, incoming_dir: str, triaged_dir: str, checkpoint_dir: str,
@@ -115,26 +117,17 @@ def run_ingestion(spark: SparkSession, incoming_dir: str, triaged_dir: str, chec
                   summary_dir: str | None = None, **kw) -> list[dict]:
     """One availableNow run: consume everything new, then stop. Returns one entry
     per scored file of this run: source_file, output, n, n_flagged."""
-    _, summaries, consumed = _dirs(triaged_dir, rejects_dir, summary_dir)
-    before = _committed(spark, checkpoint_dir)
+    _, summaries = _dirs(triaged_dir, rejects_dir, summary_dir)
+    log = CommitLog(spark, triaged_dir + LOG)
+    before = set(log.numbers())
     q = start_ingest(spark, incoming_dir, triaged_dir, checkpoint_dir, model, rejects_dir, summary_dir, **kw)
     q.awaitTermination()
-    done = _committed(spark, checkpoint_dir)
+    done = set(log.numbers())
     if processed_dir:   # all committed batches: a crash may have kept an earlier run from moving
-        move_consumed(spark, triaged_dir, processed_dir, done & _batches(spark, consumed))
+        move_consumed(spark, triaged_dir, processed_dir, done)
     out = []
-    for k in sorted((done - before) & _batches(spark, summaries)):
-        rows = spark.read.parquet(f"{summaries}/batch_id={k}").orderBy("source_file").collect()   # files of one batch
-        out += [{c: r[c] for c in ("source_file", "output", "n", "n_flagged")} for r in rows]
+    for k in sorted(done - before):
+        if log.read(k)["scored"]:
+            rows = spark.read.parquet(f"{summaries}/batch_id={k}").orderBy("source_file").collect()   # files of one batch
+            out += [{c: r[c] for c in ("source_file", "output", "n", "n_flagged")} for r in rows]
     return out
-
-
-def _committed(spark: SparkSession, checkpoint_dir: str) -> set[int]:
-    """Micro-batches that the stream's checkpoint holds as committed."""
-    folder = f"{checkpoint_dir}/commits"
-    if not path_exists(spark, folder):
-        return set()
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    names = [str(s.getPath().getName()) for s in
-             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
-    return {int(n) for n in names if n.isdigit()}

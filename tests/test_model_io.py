@@ -108,7 +108,7 @@ def test_a_replayed_batch_changes_nothing(spark, tiny, tmp_dir):
     _write(os.path.join(inc, "a.csv"), "id,text\nabc,new cake\n2\n")
     _write(os.path.join(inc, "b.csv"), "nothing\n1\n")
     batch = spark.createDataFrame([(os.path.join(inc, f),) for f in ("a.csv", "b.csv")], "path string")
-    process = make_batch_writer(model, tri, tri + "_rejects", tri + "_summary", tri + "_consumed")
+    process = make_batch_writer(model, tri, tri + "_rejects", tri + "_summary")
 
     def outputs():
         return (sorted(map(tuple, spark.read.parquet(tri + "_rejects").collect()), key=repr),
