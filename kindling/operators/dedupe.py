@@ -28,14 +28,14 @@ def votes(df: DataFrame, order_col: str, text_col: str = "text", target_col: str
                  F.min_by(F.struct(order.alias("at"), row.alias("row")), order).alias("_first")))
 
 
-def resolve(voted: DataFrame) -> DataFrame:
+def resolve(voted: DataFrame, keep_key: bool = False) -> DataFrame:
     """One row per text: its first row, the mode, and whether the mode is unique."""
     per_text = voted.groupBy("_key").agg(
         F.max(F.when(F.col("_n") > 0, F.struct(F.col("_n"), F.col("_target")))).alias("_hi"),
         F.min(F.when(F.col("_n") > 0, F.struct(-F.col("_n"), F.col("_target")))).alias("_lo"),
         F.sum("_rows").alias("_rows"), F.min_by(F.col("_first.row"), F.col("_first.at")).alias("_row"))
     unique = F.col("_hi").isNotNull() & (F.col("_hi._target") == F.col("_lo._target"))
-    return per_text.select("_row", F.col("_hi._target").alias("_mode"), "_rows",
+    return per_text.select(*["_key"] * keep_key, "_row", F.col("_hi._target").alias("_mode"), "_rows",
                            F.coalesce(unique, F.lit(False)).alias("_unique"))
 
 

@@ -78,22 +78,22 @@ def positive_rate_drift(reference: DataFrame, current: DataFrame, target_col: st
         (F.coalesce(flag, F.lit(False)) if has_label else F.lit(False)).alias("flagged"))
 
 
+def long_features(df: DataFrame, positive_col: str, ids: list | None = None) -> DataFrame:
+    """(ids, feature, value): the five features and the positive-rate column of every row."""
+    feats = C.NUMERIC_FEATURES + C.RATE_FEATURES
+    positive = F.col(positive_col) if positive_col in df.columns else F.lit(None)
+    rows = df.select(*(ids or []), *[F.col(f).cast("double").alias(f) for f in feats], positive.cast("double").alias("positive_rate"))
+    names = [c for c in rows.columns if c not in (*feats, "positive_rate")]
+    return rows.unpivot(names, feats + ["positive_rate"], "feature", "value")
+
+
 def drift_counts(reference: DataFrame, current: DataFrame, target_col: str = "target",
                  label_col: str = "label") -> DataFrame:
     """One pass over both sides: (side, feature, value, count) for the five
     features plus the positive-rate column (true target on the reference,
     predicted label on the current batch). Partial aggregation before the
     shuffle, and the result is tiny (distinct values only)."""
-    feats = C.NUMERIC_FEATURES + C.RATE_FEATURES
-
-    def side(df, pos, tag):
-        return df.select(*[F.col(f).cast("double").alias(f) for f in feats],
-                         pos.cast("double").alias("positive_rate"), F.lit(tag).alias("_r"))
-
-    ref_pos = F.col(target_col) if target_col in reference.columns else F.lit(None)
-    cur_pos = F.col(label_col) if label_col in current.columns else F.lit(None)
-    both = side(reference, ref_pos, 1).unionByName(side(current, cur_pos, 0))
-    long = both.unpivot(["_r"], feats + ["positive_rate"], "feature", "value")
+    long = long_features(reference, target_col, [F.lit(1).alias("_r")]).unionByName(long_features(current, label_col, [F.lit(0).alias("_r")]))
     return long.groupBy("_r", "feature", "value").agg(F.count("*").alias("c"))
 
 
@@ -107,10 +107,15 @@ def drift_report(reference: DataFrame, current: DataFrame, target_col: str = "ta
     """Report: always the six checks (3 KS, 2 rates, positive_rate), with the
     batch header (sizes, insufficient_sample) and any_drift repeated. A check
     without data on a side has nulls and no flag. Every statistic comes from one
-    ``drift_counts`` table; its seven summary rows come to the driver, which
-    finishes the p-values, so no task needs this package."""
-    spark = reference.sparkSession
-    counts = reuse(drift_counts(reference, current, target_col, label_col))
+    ``drift_counts`` table."""
+    return report_of_counts(reuse(drift_counts(reference, current, target_col, label_col)))
+
+
+def report_of_counts(counts: DataFrame) -> DataFrame:
+    """The report of a table (_r, feature, value, c), 1 for the reference and 0 for the
+    batch. Its seven summary rows come to the driver, which finishes the p-values, so
+    no task needs this package."""
+    spark = counts.sparkSession
     c, v, is_ref = F.col("c"), F.col("value"), F.col("_r") == 1
 
     per_value = counts.where(F.col("feature").isin(C.NUMERIC_FEATURES) & v.isNotNull()).groupBy(

@@ -82,9 +82,11 @@ class BaselineRepresentation:
     min_df: int = C.TFIDF_MIN_DF
     tfidf: TfidfModel | None = None
     scaler: Scaler | None = None
+    #: A vocabulary that is kept elsewhere, of the rows to fit; else they are counted.
+    given: DataFrame | None = None
 
     def fit(self, train: DataFrame, id_col: str = "id") -> "BaselineRepresentation":
-        vocab = vocabulary(train, id_col, "cleaned_text", self.max_features, self.min_df)
+        vocab = self.given if self.given is not None else vocabulary(train, id_col, "cleaned_text", self.max_features, self.min_df)
         self.tfidf = TfidfModel.from_vocab(vocab)
         self.scaler = Scaler.fit(train)
         return self

@@ -413,6 +413,8 @@ SQL["expanded_train"] = with_(MSG, LAB, LAB_FEAT, SPLIT, UNLAB, POOL,
     "SELECT id, keyword, text, source, target, cleaned_text, word_count, has_url, hashtag_count, "
     "mention_count, has_keyword FROM exp")
 
+SQL["incremental_pool"] = SQL["expanded_train"]
+
 SQL["row_counts"] = with_(DUP, dedupe_sql("dup", ["id", "text", "source", "target"])) + """
 SELECT 'raw' AS stage, count(*) AS n FROM dup
 UNION ALL SELECT 'distinct_texts' AS stage, count(DISTINCT text) AS n FROM dup
@@ -443,6 +445,8 @@ SELECT "check", test, statistic, reference_rate, current_rate,
        rate_flagged, n_reference, n_current, CAST(n_current < 30 AS INTEGER) AS insufficient_sample
 FROM u, s"""
 
+SQL["drift_stream"] = SQL["drift_report"]
+
 SQL["candidate_split_counts"] = BASE_SPLIT + """
 SELECT split, target, count(embedding) AS n
 FROM splitted JOIN embeddings ON id % (SELECT count(*) FROM embeddings) = vec_id GROUP BY split, target"""

@@ -23,6 +23,7 @@ from kindling.operators.metrics import (compare, confusion, metrics_by_split, me
                                         roc_auc, verdict)
 from kindling.operators.model import (BaselineRepresentation, LinearClassifier, PlainFeatures, TriageModel, fit,
                                       gradient_norm, linear_score)
+from kindling.operators.pool import TrainingPool
 from kindling.operators.retrain import expanded_train, union_with_order
 from kindling.operators.scaler import Scaler, scaler_stats
 from kindling.operators.split import order_key, stratified_split
@@ -33,6 +34,7 @@ from kindling.plans import jobs as J
 from kindling.plans import views as V
 from kindling.session import materialize, work_dir
 from kindling.sources.files import read_metrics
+from kindling.streaming.drift_stream import latest_reports, start_drift
 from kindling.streaming.ingest import READ_BACK, WRITE_CSV, run_ingestion
 from kindling.streaming.prediction_log import read_log, start_log_stream
 
@@ -386,6 +388,15 @@ def q_expanded_train(spark, sf):
                                                  "cleaned_text", *C.FEATURE_COLUMNS)
 
 
+@register("incremental_pool")
+def q_incremental_pool(spark, sf):
+    """The same pool kept by signed deltas: made of the train rows, then given the batch."""
+    train = train_rows(spark, sf).drop("split")
+    pool = TrainingPool.create(spark, work_dir(spark, f"pool-{uuid.uuid4().hex}"), train)
+    pool.apply(fe.build_features(new_label_batch(spark, sf)))
+    return pool.rows().select("id", "keyword", "text", "source", "target", "cleaned_text", *C.FEATURE_COLUMNS)
+
+
 # ---------------------------------------------------------------------------
 # model training, retraining, streaming (rows-only checks)
 # ---------------------------------------------------------------------------
@@ -523,6 +534,21 @@ def q_prediction_log(spark, sf):
         "text", "keyword", "label", r6(F.col("probability")).alias("probability"), "model_name")
 
 
+@register("drift_stream")
+def q_drift_stream(spark, sf):
+    """The drift report after the last of several micro-batches of the scored batch."""
+    base = work_dir(spark, f"drift-{uuid.uuid4().hex}")
+    ref, cur = drift_sides(spark, sf)
+    cur = cur.select(*C.FEATURE_COLUMNS, "label", F.pmod(F.xxhash64("id"), F.lit(3)).alias("part"))
+    cur.repartition(3, "part").drop("part").write.option("maxRecordsPerFile", 1_000_000).parquet(f"{base}/scored")
+    rows = spark.readStream.schema(spark.read.parquet(f"{base}/scored").schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/scored")
+    start_drift(rows, ref, f"{base}/out", f"{base}/_checkpoint").awaitTermination()
+    r = latest_reports(spark, f"{base}/out")
+    return r.select("check", "test", *[r6(F.col(c)).alias(c) for c in ("statistic", "reference_rate", "current_rate", "diff")],
+                    F.when(F.col("test") != "ks_2samp", F.col("flagged")).alias("rate_flagged"),
+                    "n_reference", "n_current", "insufficient_sample")
+
+
 @register("row_counts")
 def q_row_counts(spark, sf):
     """Rows in, distinct texts, rows kept after dedupe, texts dropped: one pass."""
