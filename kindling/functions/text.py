@@ -1,38 +1,25 @@
 """Scalar text functions (cleaning and the five handcrafted features).
 
 Everything here returns a ``Column`` built from Spark built-ins, so a whole
-featurisation is a single Project inside whole-stage codegen. The only step
-that leaves the JVM is HTML entity decoding (an Arrow-batched pandas UDF fed
-only the rows that contain ``&``).
+featurisation is a single Project; no row leaves the JVM.
 """
 from __future__ import annotations
 
-import html
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kindling import config as C
+from kindling.functions import entities
 
 
 def _col(c: "Column | str") -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@F.pandas_udf(T.StringType())
-def _html_unescape(s: pd.Series) -> pd.Series:
-    return s.map(html.unescape, na_action="ignore")
-
-
 def html_unescape(c: "Column | str") -> Column:
     """Decode HTML entities (full HTML5 table, numeric references, and the
-    legacy prefix forms without ``;``). Rows without an ``&`` before ``#`` or
-    a letter skip the UDF: they are masked to null before the Arrow transfer
-    and restored afterwards."""
-    c = _col(c)
-    return F.coalesce(_html_unescape(F.when(c.rlike("&[#A-Za-z]"), c)), c)
+    legacy prefix forms without ``;``)."""
+    return entities.unescape(_col(c))
 
 
 def fix_mojibake(c: "Column | str") -> Column:

@@ -147,8 +147,9 @@ CANDIDATE_INTERCEPT = -1.875
 def labelled_split(spark, sf) -> DataFrame:
     """Dedupe -> split -> featurise. Features are row-wise, so featurising
     after the split is the same result, and each split branch featurises only
-    its own rows (the text chain runs once per row)."""
-    deduped = dedupe_labels(V.lab(spark, sf), order_col="id")
+    its own rows (the text chain runs once per row). The deduped rows are written
+    once, as the split looks at them more than once."""
+    deduped = materialize(dedupe_labels(V.lab(spark, sf), order_col="id"), "deduped")
     return fe.build_features(stratified_split(deduped, id_col="id", target_col="target"))
 
 
@@ -236,7 +237,7 @@ def q_idf(spark, sf):
 
 @register("tfidf_weights")
 def q_tfidf_weights(spark, sf):
-    split = labelled_split(spark, sf)
+    split = frozen_split(spark, sf)
     v = vocabulary(split.where(F.col("split") == "train"), "id")
     w = weights(split, v, "id")
     return w.select("id", "term", "idx", r6(F.col("weight")).alias("weight"))
@@ -250,7 +251,7 @@ def q_scaler_stats(spark, sf):
 
 @register("scaled_features")
 def q_scaled_features(spark, sf):
-    split = labelled_split(spark, sf)
+    split = frozen_split(spark, sf)
     sc = Scaler.fit(split.where(F.col("split") == "train"))
     return split.select("id", *[r6(c).alias(n) for c, n in
                                 zip(sc.columns(), [f"scaled_{f}" for f in C.FEATURE_COLUMNS])])

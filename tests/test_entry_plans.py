@@ -16,12 +16,12 @@ def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-def test_features_stay_in_jvm_except_entity_decode(spark):
+def test_features_stay_in_jvm(spark):
     from kindling.plans import queries as q
     plan = _plan(q.Q["word_count"](spark, SF001))
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
     plan = _plan(q.Q["clean_text"](spark, SF001))
-    assert "BatchEvalPython" not in plan          # only the Arrow UDF, never row-at-a-time
+    assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
 
 
 def test_scan_is_pruned(spark):
