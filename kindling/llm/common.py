@@ -22,10 +22,20 @@ def thin(df: DataFrame, **cols: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(n) for n, c in cols.items()])
 
 
+def packed(df: DataFrame, **own) -> DataFrame:
+    """Whole rows as one struct ``_row`` beside an operator's own columns, so that no name can clash."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[x.alias(n) for n, x in own.items()])
+
+
+def unpacked(columns: list[str], **replaced) -> list:
+    """The columns of ``_row`` again, some of them replaced."""
+    return [replaced[c].alias(c) if c in replaced else F.col("_row").getField(c).alias(c) for c in columns]
+
+
 def row_key(doc_id, text) -> "F.Column":
-    """64 bits of a row's id and text, nulls told apart. Rows of one key are alike to stages that judge the
-    text; two others meet with odds of 2^-64."""
-    doc_id, text = doc_id.cast("long"), text.cast("string")
+    """64 bits of a row's id, of any type, and text, nulls told apart. Rows of one key are alike to stages that
+    judge the text; two others meet with odds of 2^-64."""
+    text = text.cast("string")
     return F.xxhash64(doc_id.isNull(), doc_id, text.isNull(), text)
 
 

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindling.llm.common import row_key, thin
+from kindling.llm.common import packed, row_key, thin, unpacked
 
 WINDOW_WORDS = 10
 #: Words indexed together; bounds a task's memory, never the result.
@@ -320,8 +320,9 @@ def find_hits(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_co
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
     """The documents in which no test phrase occurs, all columns kept; null ids are judged together."""
-    bad = find_hits(docs, bench, id_col, **kw).where("n_hit > 0").select(F.col("doc_id").alias("_hit_id")).distinct()
-    return docs.join(bad, docs[id_col].cast("long").eqNullSafe(F.col("_hit_id")), "left_anti")
+    bad = find_hits(docs, bench, id_col, **kw).where("n_hit > 0").select(F.col("doc_id").alias("hit")).distinct()
+    rows = packed(docs, own=F.col(f"`{id_col}`").cast("long"))
+    return rows.join(bad, F.col("own").eqNullSafe(F.col("hit")), "left_anti").select(*unpacked(docs.columns))
 
 
 def drop_contaminated_rows(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
@@ -330,8 +331,8 @@ def drop_contaminated_rows(docs: DataFrame, bench: DataFrame, id_col: str = "doc
     text = F.col(f"`{text_col}`")
     key = row_key(F.col(f"`{id_col}`"), text)
     bad = (find_hits(docs.select(key.alias("doc_id"), text.alias("text")), bench, **kw).where("n_hit > 0")
-           .select(F.col("doc_id").alias("_hit_key")).distinct())
-    return docs.join(bad, key == F.col("_hit_key"), "left_anti")
+           .select(F.col("doc_id").alias("key")).distinct())
+    return packed(docs, key=key).join(bad, "key", "left_anti").select(*unpacked(docs.columns))
 
 
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:

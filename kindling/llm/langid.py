@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindling.llm.common import byte_slices, row_key, thin, written
+from kindling.llm.common import byte_slices, packed, row_key, thin, unpacked, written
 
 BUCKET_BITS = 18
 SMOOTHING = 0.5
@@ -279,8 +279,8 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     key = row_key(F.col(f"`{id_col}`"), text)
     good = (predict(docs.select(key.alias("doc_id"), text.alias("text")), (languages, _log_likelihoods(counts)), with_fit=True)
             .where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score) & (_fit(mean) >= least))
-            .select(F.col("doc_id").alias("_good_key")).distinct())
-    return docs.join(good, key == F.col("_good_key"), "left_semi")
+            .select(F.col("doc_id").alias("key")).distinct())
+    return packed(docs, key=key).join(good, "key", "left_semi").select(*unpacked(docs.columns))
 
 
 def op4_language_id(spark, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindling.llm.common import written
+from kindling.llm.common import packed, unpacked, written
 
 MAX_RATIO = 0.1
 MIN_PAGES = 5
@@ -53,22 +53,22 @@ def boilerplate(docs: DataFrame, site_col: str = "source", text_col: str = "text
 
 
 def drop_boilerplate(docs: DataFrame, site_col: str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO,
-                     min_pages: int = MIN_PAGES) -> DataFrame:
-    """``docs`` with boilerplate lines gone from the text, and ``_n_lines`` and ``_n_dropped`` added."""
+                     min_pages: int = MIN_PAGES, counts: bool = True) -> DataFrame:
+    """``docs`` with boilerplate lines gone from the text; with ``counts``, ``_n_lines`` and ``_n_dropped`` are
+    added, or replace columns of those names."""
     bad = written(boilerplate(docs, site_col, text_col, max_ratio, min_pages), "line-boilerplate")
     n, size = bad.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("bad") * 8 + F.octet_length("site.name") + 48), F.lit(0))).first()
-    bad = bad.select(F.col("site").alias("_site"), F.col("bad").alias("_bad"))
     bad = F.broadcast(bad) if size <= BROADCAST_BYTES else bad
-    text = F.col(f"`{text_col}`").cast("string")
-    marked = docs.join(bad, _site_key(F.col(f"`{site_col}`")) == F.col("_site"), "left")
-    known = F.coalesce(F.col("_bad"), F.array().cast("array<long>"))
+    rows = packed(docs, text=F.col(f"`{text_col}`").cast("string"), site=_site_key(F.col(f"`{site_col}`")))
+    marked = rows.join(bad, "site", "left")
+    text, known = F.col("text"), F.coalesce(F.col("bad"), F.array().cast("array<long>"))
     kept = F.filter(_lines(text), lambda x: ~(x.rlike(WORD_CHARACTER) & F.array_contains(known, F.xxhash64(x))))
-    marked = marked.withColumn("_kept", F.when(F.col("_bad").isNull(), _lines(text)).otherwise(kept))
+    marked = marked.withColumn("kept", F.when(F.col("bad").isNull(), _lines(text)).otherwise(kept))
     lines = F.when(text.isNull(), F.lit(0)).otherwise(F.size(_lines(text)))
-    left = F.when(text.isNull(), F.lit(0)).otherwise(F.size("_kept"))
-    out = [F.array_join("_kept", "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    return marked.select(*out, lines.cast("long").alias("_n_lines"),
-                         (lines - left).cast("long").alias("_n_dropped"))
+    left = F.when(text.isNull(), F.lit(0)).otherwise(F.size("kept"))
+    own = [lines.cast("long").alias("_n_lines"), (lines - left).cast("long").alias("_n_dropped")] if counts else []
+    columns = [c for c in docs.columns if not counts or c not in ("_n_lines", "_n_dropped")]
+    return marked.select(*unpacked(columns, **{text_col: F.array_join("kept", "\n")}), *own)
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindling.llm.common import connected_components, row_key, thin, written
+from kindling.llm.common import connected_components, packed, row_key, thin, unpacked, written
 
 BITS = 64
 SHINGLE_WORDS = 4
@@ -186,7 +186,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
              max_bits: int = MAX_BITS, pair_cap: int = PAIR_CAP, chain: int | None = None) -> DataFrame:
     """One row of each component, all columns kept: the one with the smallest doc_id (null last), then with
     the smallest hash of id and text. Of rows equal in both, one stays, by the hash of the other columns."""
-    doc_id, text = F.col(f"`{id_col}`").cast("long"), F.col(f"`{text_col}`")
+    doc_id, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     key = row_key(doc_id, text)
     keyed = fingerprints(docs.select(key.alias("doc_id"), text.alias("text")), shingle=shingle).select(F.col("doc_id").alias("key"), "fp")
     ids = docs.select(key.alias("key"), doc_id.alias("id")).groupBy("key").agg(F.first("id").alias("id"), F.count(F.lit(1)).alias("n"))
@@ -194,14 +194,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     place = F.struct(F.col("id").isNull().alias("none"), "id", "key", "n")
     classes = written(rows.groupBy("fp").agg(F.min(place).alias("least")), "simhash-classes")
     kept = written(_components(classes, max_bits, pair_cap, chain).groupBy("component").agg(F.min("least").alias("least"))
-                   .select(F.col("least.key").alias("_kept_key"), F.col("least.n").alias("_kept_n")), "simhash-kept")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    alone = docs.join(kept.where("_kept_n = 1"), key == F.col("_kept_key"), "left_semi")
-    copied = docs.join(kept.where("_kept_n > 1").drop("_kept_n"), key == F.col("_kept_key"))
-    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+                   .select("least.key", "least.n"), "simhash-kept")
+    rows = packed(docs, key=key)
+    alone = rows.join(kept.where("n = 1").drop("n"), "key", "left_semi")
+    copied = rows.join(kept.where("n > 1").drop("n"), "key")
+    hashed = [F.col("_row").getField(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]
     # the copies' rows are combined before the exchange, however many there are
-    first = copied.groupBy("_kept_key").agg(F.min_by(F.struct(*columns), F.xxhash64(*hashed)).alias("_kept_row"))
-    return alone.unionByName(first.select(*[F.col("_kept_row").getField(c).alias(c) for c in docs.columns]))
+    first = copied.groupBy("key").agg(F.min_by("_row", F.xxhash64(*hashed)).alias("_row"))
+    return alone.unionByName(first).select(*unpacked(docs.columns))
 
 
 def hex_fingerprint(fp) -> "F.Column":

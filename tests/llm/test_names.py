@@ -1,0 +1,63 @@
+"""Every pipeline stage keeps the values of columns that are named as its own, and ids of other types."""
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as P
+from kindling.llm.decontam import drop_contaminated, drop_contaminated_rows
+from kindling.llm.langid import keep_identified
+from kindling.llm.lines import drop_boilerplate
+from kindling.llm.simhash import keep_one
+
+NAMES = ["_kept", "_bad", "_site", "_n_lines", "_n_dropped", "_good_key", "_kept_key", "_kept_n", "_kept_row", "_hit_key", "_hit_id", "_row", "key", "hit", "own",
+         "site", "bad", "kept", "n", "a.b", "least", "component"]
+WORDS = ("the house by the river was old and the people who lived there knew every stone of the road to the town "
+         "where they bought bread and salt and sometimes a newspaper with stories about the sea").split()
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = []
+    for k in range(12):
+        text = f"menu line shared\n{' '.join(WORDS[k:] + WORDS[:k])} number {k * 7919}"
+        rows.append((k, text, "en", "s", len(text)))
+    rows.append((90, rows[3][1], "en", "s", rows[3][4]))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    return df.select("*", *[F.concat(F.lit(f"{n}:"), F.col("doc_id")).alias(n) for n in NAMES])
+
+
+@pytest.fixture(scope="module")
+def bench(spark):
+    return spark.createDataFrame([(1, " ".join(WORDS[5:20]))], "item_id long, text string")
+
+
+def kept_values(before, after):
+    assert after.columns == before.columns
+    rows = after.collect()
+    assert rows
+    for r in rows:
+        assert all(r[n] == f"{n}:{r['doc_id']}" for n in NAMES)
+    return {r["doc_id"] for r in rows}
+
+
+def test_stages_keep_clashing_columns(spark, docs, bench):
+    assert len(kept_values(docs, drop_boilerplate(docs, counts=False))) == 13
+    assert "menu" not in drop_boilerplate(docs, counts=False).first()["text"]
+    assert kept_values(docs, keep_one(docs)) >= {0, 1} and 90 not in kept_values(docs, keep_one(docs))
+    kept_values(docs, keep_identified(docs))
+    none = spark.createDataFrame([(1, "nothing of the kind is in these documents at all, not one window of it")], bench.schema)
+    assert len(kept_values(docs, drop_contaminated_rows(docs, none))) == len(kept_values(docs, drop_contaminated(docs, none))) == 13
+    left = {r["doc_id"] for r in drop_contaminated_rows(docs, bench).collect()}
+    assert 0 not in left and left
+    assert len(kept_values(docs, P.line_dedup(spark, docs, ""))) == 13
+
+
+def test_counts_replace_columns_of_their_names(docs):
+    got = drop_boilerplate(docs)
+    assert got.columns.count("_n_lines") == 1 and got.first()["_n_lines"] == 2 and got.first()["_n_dropped"] == 1
+
+
+def test_ids_of_other_types(docs, bench):
+    named = docs.withColumn("doc_id", F.concat(F.lit("id-"), F.lpad(F.col("doc_id").cast("string"), 3, "0")))
+    assert "id-090" not in {r["doc_id"] for r in keep_one(named).collect()}
+    assert "id-000" not in {r["doc_id"] for r in drop_contaminated_rows(named, bench).collect()}
+    assert keep_identified(named).columns == named.columns
