@@ -26,7 +26,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of a source go from its documents' texts; all documents stay."""
-    kept = drop_boilerplate(docs)
+    kept = drop_boilerplate(docs, counts=False)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
