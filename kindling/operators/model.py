@@ -166,7 +166,7 @@ def fit(representation, train: DataFrame, target_col: str = "target", id_col: st
     representation.fit(train, id_col)
     vectors = written_vectors(representation.transform(train), target_col, "features")
     found = newton.minimise(vectors, vector_width(vectors), 1 / C.LR_C)
-    meta = {"n_train": vectors.count(), "name": representation.name, "passes": found.passes, "max_gradient": found.max_gradient}
+    meta = {"n_train": found.rows, "name": representation.name, "passes": found.passes, "max_gradient": found.max_gradient}
     return TriageModel(representation, logistic_model(found.coefficients, found.intercept), meta)
 
 

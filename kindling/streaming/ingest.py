@@ -27,14 +27,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from kindling import config as C
 from kindling.sources.commit_log import CommitLog, Conflict
-from kindling.sources.files import REJECTED_ROWS, read_csvs
+from kindling.sources.files import READ_BACK, REJECTED_ROWS, WRITE_CSV, read_csvs
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
-READ_BACK = {"header": "true", "multiLine": "true", "escape": '"'}
 #: Added to the output's folder name: the folder of its commit log.
 LOG = "_commits"
-# cells keep the white space around them
-WRITE_CSV = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def _move(spark: SparkSession, path: str, target_dir: str) -> None:

@@ -181,6 +181,26 @@ def test_retrain_promote_keep_archive(spark, tmp_dir):
         _retrain(spark, base, [new])
 
 
+def test_a_cycle_counts_on_the_way_and_may_keep_its_pool(spark, tmp_dir, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    plain = DataFrame.count
+
+    def no_count(self):
+        assert "text" not in self.columns, "a job that only counts messages"
+        return plain(self)
+    monkeypatch.setattr(DataFrame, "count", no_count)
+    new = spark.createDataFrame([(100, None, "storm hits the coast hard", 0), (101, None, "a new text", 1)],
+                                "id long, keyword string, text string, target int")
+    found = []
+    for name, more in (("a", {}), ("b", {"pool_path": os.path.join(tmp_dir, "pool")})):
+        base = os.path.join(tmp_dir, name)
+        s, m = J.retrain_cycle(spark, _splits(spark), [new], f"{base}/models/b", f"{base}/metrics/b", f"{base}/archive", f"{base}/cand", **more)
+        assert (s["n_train"], s["n_new"], s["n_pool"]) == (8, 2, 8)
+        found.append(sorted((r["split"], r["metric"], round(r["value"], 9)) for r in m.collect()))
+    assert found[0] == found[1]
+
+
 def test_expanded_train_tie_drops_text(spark):
     from kindling.operators.retrain import expanded_train
     train = spark.createDataFrame([(1, "a text", 1), (2, "b text", 0)], "id long, text string, target int")
