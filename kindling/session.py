@@ -25,8 +25,9 @@ _LOCAL_CONF = {
     # threshold stays, everything else goes sort-merge.
 }
 
-#: Tables and folders that this process has made in the shared folder.
+#: Folders in the shared folder, and catalog tables over them, that this process has made.
 _MADE: list[str] = []
+_TABLES: list[str] = []
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
@@ -86,9 +87,17 @@ def materialize(df: DataFrame, name: str, schema=None) -> DataFrame:
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
+def temporary_table(name: str) -> str:
+    """Note a catalog table over a folder of ``work_dir``; ``clean_up`` drops it."""
+    _TABLES.append(name)
+    return name
+
+
 def clean_up(spark: SparkSession) -> int:
     """Delete the intermediates of this process; call it when no DataFrame that
     reads them is still wanted. Returns how many were deleted."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS `{_TABLES.pop()}`")
     jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
     while _MADE:
         p = jvm.org.apache.hadoop.fs.Path(_MADE.pop())
