@@ -6,12 +6,13 @@ starts, word for word, in a document with a smaller doc_id.
 1. Documents are packed, in the order of the scan, into shards of about ``shard_words`` words. The
    shards are a bucketed table in the shared folder, so that later steps read them without a shuffle.
 2. Confirming recurring passages: every shard sends its distinct windows (64-bit hashes) with the
-   smallest doc_id that has each, sorted and packed by hash range. A range learns the smallest doc_id
-   of all shards and answers one bit per window: another shard has it under a smaller doc_id. A window
-   in a third of all documents is one entry per shard.
-3. Each shard compiles a pyahocorasick automaton over the recurring phrases that it must lose (a run
-   of windows is compiled as the phrases that cover it), streams all its documents through it to
-   locate every occurrence, and drops the covered words.
+   smallest doc_id that has each, sorted and packed by hash range. A range answers which windows other
+   shards have too, and the smallest doc_id of those. A window in a third of all documents is one entry
+   per shard. A window also recurs if several documents of the shard have it.
+3. Each shard compiles a pyahocorasick automaton over the recurring phrases of all its documents (a run of
+   windows with one first document is compiled as the phrases that cover it) and streams all its documents
+   through it. What goes follows from the occurrences that the automaton locates: the words of one that
+   lies in a document other than the phrase's first.
 
 Hash collisions: a window is wrongly taken for a repeat with a chance of (windows / 2^64), 1e-11 at
 10^8 windows and 1e-6 at 100 TB. Windows of one shard are compared by word in the automaton.
@@ -35,13 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindling.llm.common import pieces, text_bytes, thin
-from kindling.session import work_dir
+from kindling.session import temporary_table, work_dir
 
 WINDOW_WORDS = 13
 #: Words packed and compiled together; bounds a task's memory, never the result.
 SHARD_WORDS = 500_000
 #: Text bytes behind one hash range: as small as the first, as the corpus over RANGES, as large as the last.
 RANGE_BYTES, RANGES, RANGE_BYTES_MOST = 4 << 20, 4096, 256 << 20
+#: Text bytes behind one bucket of the shards' table, a bucket being one task.
+BUCKET_BYTES = 64 << 20
 
 LAST_ID = np.iinfo(np.int64).max  # stands for a null doc_id
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -110,6 +113,8 @@ class _Shard:
         self.key_of = np.empty(len(by), np.int64)
         self.key_of[by] = np.cumsum(new) - 1
         self.least = self.ids[self.doc[by[new]]]  # stable: the first holder has the smallest doc_id
+        # windows of several documents: the last holder has another doc_id than the first
+        self.many = self.ids[self.doc[by[np.append(new[1:], True)]]] > self.least if len(by) else np.zeros(0, bool)
 
     def cuts(self, ranges: int) -> np.ndarray:
         """Where each of the equal hash ranges begins among the sorted keys."""
@@ -145,7 +150,7 @@ def _send(batches, window, ranges):
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """One bit for each window of each shard: another shard holds it under a smaller doc_id."""
+    """For each shard of a range: a bit for each of its windows, set if other shards have it, and the smallest doc_id of those."""
     shards = table.column("shard").to_pylist()
     keys = [np.cumsum(_unplanes(b.as_py(), np.uint64), dtype=np.uint64) for b in table.column("keys")]
     sizes = np.array([len(k) for k in keys])
@@ -156,30 +161,31 @@ def _answer(table: pa.Table) -> pa.Table:
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
     del keys
-    first = np.minimum.reduceat(least[by], np.flatnonzero(new))
-    later = np.empty(len(by), bool)
-    later[by] = least[by] > first[np.cumsum(new) - 1]
+    starts, group = np.flatnonzero(new), np.cumsum(new) - 1
+    shared, first = np.empty(len(by), bool), np.empty(len(by), np.int64)
+    shared[by] = (np.diff(np.append(starts, len(by))) > 1)[group]
+    first[by] = np.minimum.reduceat(least[by], starts)[group]
     ends = np.cumsum(sizes)
-    bits = [np.packbits(later[e - s: e]).tobytes() for e, s in zip(ends, sizes)]
+    parts = [slice(e - s, e) for e, s in zip(ends, sizes)]
     r = table.column("range").to_pylist()[0]
     return pa.table({"shard": pa.array(shards, pa.int64()), "range": pa.array([r] * len(shards), pa.int64()),
-                     "n": pa.array(sizes, pa.int64()), "bits": pa.array(bits, pa.binary())})
+                     "n": pa.array(sizes, pa.int64()), "bits": pa.array([np.packbits(shared[p]).tobytes() for p in parts], pa.binary()),
+                     "first": pa.array([_planes(first[p][shared[p]]) for p in parts], pa.binary())})
 
 
-def _locate(shard: _Shard, later: np.ndarray, window: int) -> np.ndarray:
-    """Which words go, from the occurrences that the shard's automaton locates in its documents."""
+def _locate(shard: _Shard, recurs: np.ndarray, first: np.ndarray, window: int) -> np.ndarray:
+    """Which words go, from the occurrences of recurring phrases that the shard's automaton locates in its documents."""
     gone = np.zeros(len(shard.codes) + 1, np.int32)
-    loses = later[shard.key_of] | (shard.ids[shard.doc] > shard.least[shard.key_of])
-    hit = np.flatnonzero(loses)
-    if not len(hit):
+    held = np.flatnonzero(recurs[shard.key_of])
+    if not len(held):
         return gone[:-1].astype(bool)
-    # windows of a run: the first, every window-th after it, and the last cover the same words as all
-    at = shard.at[hit]
-    begins = np.ones(len(hit), bool)
-    begins[1:] = (at[1:] != at[:-1] + 1) | (shard.doc[hit][1:] != shard.doc[hit][:-1])
+    # windows of a run with one first document: the first, every window-th after it, and the last cover the same words as all
+    at, whose = shard.at[held], first[shard.key_of[held]]
+    begins = np.ones(len(held), bool)
+    begins[1:] = (at[1:] != at[:-1] + 1) | (shard.doc[held][1:] != shard.doc[held][:-1]) | (whose[1:] != whose[:-1])
     ends = np.append(begins[1:], True)
-    since = np.arange(len(hit)) - np.maximum.accumulate(np.where(begins, np.arange(len(hit)), 0))
-    phrases = hit[(since % window == 0) | ends]
+    since = np.arange(len(held)) - np.maximum.accumulate(np.where(begins, np.arange(len(held)), 0))
+    phrases = held[(since % window == 0) | ends]
     phrases = phrases[np.unique(shard.key_of[phrases], return_index=True)[1]]
     machine = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
     codes = shard.codes
@@ -187,14 +193,17 @@ def _locate(shard: _Shard, later: np.ndarray, window: int) -> np.ndarray:
         a = int(shard.at[k])
         machine.add_word(tuple(codes[a: a + window].tolist()), int(shard.key_of[k]))
     machine.make_automaton()
+    spans = np.zeros(0, np.int64)
     for d in range(len(shard.ids)):
         a, b = int(shard.starts[d]), int(shard.starts[d + 1])
         if b - a < window:
             continue
-        for end, key in machine.iter(tuple(codes[a:b].tolist())):
-            if later[key] or shard.ids[d] > shard.least[key]:
-                gone[a + end - window + 1] += 1
-                gone[a + end + 1] -= 1
+        found = list(machine.iter(tuple(codes[a:b].tolist())))
+        if found:
+            spans = np.array(found, np.int64)
+            spans = spans[first[spans[:, 1]] < shard.ids[d], 0] + a
+            gone[spans - window + 1] += 1   # a place ends one occurrence at most
+            gone[spans + 1] -= 1
     return gone[:-1].cumsum() > 0
 
 
@@ -203,12 +212,15 @@ def _remove(batches, window):
     for batch in batches:
         for ids, body, answers in zip(*(batch.column(k).to_pylist() for k in range(3))):
             shard = _Shard(ids, body, window)
-            later = [np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=x["n"]).astype(bool)
-                     for x in sorted(answers or [], key=lambda x: x["range"])]
-            later = np.concatenate(later) if later else np.zeros(0, bool)
-            if len(later) != len(shard.keys):
+            answers = sorted(answers or [], key=lambda x: x["range"])
+            shared = [np.unpackbits(np.frombuffer(x["bits"], np.uint8), count=x["n"]).astype(bool) for x in answers]
+            shared = np.concatenate(shared) if shared else np.zeros(0, bool)
+            if len(shared) != len(shard.keys):
                 raise RuntimeError("a shard's answers don't match its windows")
-            gone = _locate(shard, later, window)
+            first = shard.least.copy()
+            if answers:
+                first[shared] = np.concatenate([_unplanes(x["first"], np.int64) for x in answers])
+            gone = _locate(shard, shared | shard.many, first, window)
             n_removed = np.diff(np.concatenate(([0], np.cumsum(gone)))[shard.starts])
             kept = []
             for d in range(len(shard.ids)):
@@ -234,14 +246,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     src = thin(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     size = text_bytes(src, "text")
     ranges = pieces(size, min(max(RANGE_BYTES, size // RANGES), RANGE_BYTES_MOST))
-    name = f"repeat_shards_{uuid.uuid4().hex}"
+    name = temporary_table(f"repeat_shards_{uuid.uuid4().hex}")
     (src.mapInArrow(partial(_pack, shard_words=shard_words), "shard long, ids array<long>, body binary")
-     .write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard")
+     .write.bucketBy(max(int(spark.conf.get("spark.sql.shuffle.partitions")), pieces(size, BUCKET_BYTES)), "shard")
      .option("path", work_dir(spark, name)).format("parquet").saveAsTable(name))
     shards = spark.table(name)
     sent = shards.mapInArrow(partial(_send, window=window, ranges=ranges), "range long, shard long, keys binary, least binary")
-    answers = (sent.groupBy("range").applyInArrow(_answer, "shard long, range long, n long, bits binary")
-               .groupBy("shard").agg(F.collect_list(F.struct("range", "n", "bits")).alias("answers")))
+    answers = (sent.groupBy("range").applyInArrow(_answer, "shard long, range long, n long, bits binary, first binary")
+               .groupBy("shard").agg(F.collect_list(F.struct("range", "n", "bits", "first")).alias("answers")))
     return (shards.join(answers, "shard", "left").select("ids", "body", "answers")
             .mapInArrow(partial(_remove, window=window), "doc_id long, n_words long, n_removed long, kept string"))
 

@@ -65,3 +65,32 @@ def test_shards_are_read_without_a_shuffle(edge):
     plan = S.remove_repeats(edge)._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan or "BroadcastHashJoin" in plan
     assert S.remove_repeats(edge).agg(F.sum("n_words")).first()[0] > 120_000
+
+
+def test_the_automaton_decides(monkeypatch):
+    """What goes is what the automaton locates: with one that finds nothing, nothing goes."""
+    import numpy as np
+    import zstandard
+    passage = " ".join(f"p{k}" for k in range(30))
+    lines = [f"own{k} other{k} {passage} tail{k}".encode() + b"\n" for k in range(3)]
+    shard = S._Shard([5, 3, 9], zstandard.ZstdCompressor().compress(b"".join(lines)), 13)
+    gone = S._locate(shard, shard.many, shard.least, 13)
+    assert np.diff(np.concatenate(([0], np.cumsum(gone)))[shard.starts]).tolist() == [0, 30, 30]   # of 3, 5, 9
+    earlier = np.minimum(shard.least, 1)   # another shard has all of it under a smaller doc_id
+    assert S._locate(shard, shard.many, earlier, 13).sum() == 90
+
+    class Blind:
+        def __init__(self, *a): pass
+        def add_word(self, *a): pass
+        def make_automaton(self): pass
+        def iter(self, text): return iter(())
+    monkeypatch.setattr(S.ahocorasick, "Automaton", Blind)
+    assert not S._locate(shard, shard.many, shard.least, 13).any()
+
+
+def test_the_shards_table_leaves_the_catalog(spark, docs_of):
+    from kindling.session import clean_up
+    S.remove_repeats(docs_of([(1, "a b c", "en", "s")])).collect()
+    assert any(t.name.startswith("repeat_shards_") for t in spark.catalog.listTables())
+    clean_up(spark)
+    assert not any(t.name.startswith("repeat_shards_") for t in spark.catalog.listTables())
