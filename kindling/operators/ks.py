@@ -76,12 +76,15 @@ def _one_sample_exact(d: float, n: int) -> float:
         for name in ("result", "step"):   # keep both within range, counting powers of two
             mat = result if name == "result" else step
             top = mat[k - 1, k - 1]
-            if top > 1e140:
+            by = 400 if top > 1e140 else -400 if 0 < top < 1e-140 else 0
+            if by:
                 if name == "result":
-                    result, exponent = mat * 2.0 ** -400, exponent + 400
+                    result, exponent = mat * 2.0 ** -by, exponent + by
                 else:
-                    step, shift = mat * 2.0 ** -400, shift + 400
+                    step, shift = mat * 2.0 ** -by, shift + by
         e >>= 1
+    if result[k - 1, k - 1] <= 0:   # no path stays inside
+        return 1.0
     inside = math.log(result[k - 1, k - 1]) + exponent * math.log(2) + math.lgamma(n + 1) - n * math.log(n)
     return min(1.0, max(0.0, -math.expm1(min(0.0, inside))))
 

@@ -179,6 +179,28 @@ def test_ks_pvalue_is_continuous_above_the_exact_range():
     assert ks_pvalue(0.05, 10**9, 10**9) == 0.0
 
 
+def test_ks_pvalue_of_nearly_equal_sides():
+    """A statistic between half a step and a step of the joint size: the powers fall below the smallest double."""
+    import math
+
+    from kindling.operators.ks import _one_sample_exact
+    for n1, n2, share in ((14_381, 30_684, 0.51), (11_000, 50_000, 0.75), (10_001, 10_001, 0.93)):
+        n = round(n1 * n2 / (n1 + n2))
+        assert ks_pvalue(share / n, n1, n2) == 1.0
+    for n, share in ((3, 0.9), (10, 0.75), (60, 0.95)):
+        inside = math.factorial(n) * ((2 * share - 1) / n) ** n
+        assert abs(_one_sample_exact(share / n, n) - (1 - inside)) < 1e-12
+
+
+def test_drift_report_of_nearly_equal_sides(spark):
+    from kindling.operators.drift import report_of_counts
+    rows = [(side, f, v, c) for f in (*C.NUMERIC_FEATURES, *C.RATE_FEATURES, "positive_rate")
+            for side, v, c in ((1, 0.0, 6_000), (1, 1.0, 6_000), (0, 0.0, 9_002), (0, 1.0, 8_998))]
+    rep = report_of_counts(spark.createDataFrame(rows, "_r int, feature string, value double, c long")).collect()
+    assert len(rep) == 6 and not any(r["any_drift"] for r in rep)
+    assert {r["p_value"] for r in rep if r["test"] == "ks_2samp"} == {1.0}
+
+
 def test_drift_with_an_empty_or_null_side(spark):
     ref = spark.createDataFrame(_ref(seed=1).assign(target=1))
     none = ref.drop("target").where("false")
