@@ -100,7 +100,7 @@ def _one_sample_series(d: float, n: int) -> float:
     k1 = root / (6 * z ** 4) * ((half - z * z) * at).sum()
     k2 = (root / (72 * z ** 7) * ((6 * z ** 6 + 2 * z ** 4 + (2 * z ** 4 - 5 * z * z) * half + (1 - 2 * z * z) * half ** 2) * at).sum()
           - root / (36 * z ** 3) * (whole * at_whole).sum())
-    return min(1.0, max(0.0, 1 - (k0 + k1 / math.sqrt(n) + k2 / n)))
+    return float(min(1.0, max(0.0, 1 - (k0 + k1 / math.sqrt(n) + k2 / n))))   # not NumPy's, which no row can hold
 
 
 def _one_sided(d: float, n: int) -> float:

@@ -1,4 +1,5 @@
 import json
+import math
 
 import numpy as np
 import pandas as pd
@@ -181,8 +182,6 @@ def test_ks_pvalue_is_continuous_above_the_exact_range():
 
 def test_ks_pvalue_of_nearly_equal_sides():
     """A statistic between half a step and a step of the joint size: the powers fall below the smallest double."""
-    import math
-
     from kindling.operators.ks import _one_sample_exact
     for n1, n2, share in ((14_381, 30_684, 0.51), (11_000, 50_000, 0.75), (10_001, 10_001, 0.93)):
         n = round(n1 * n2 / (n1 + n2))
@@ -201,6 +200,19 @@ def test_drift_report_of_nearly_equal_sides(spark):
     assert {r["p_value"] for r in rep if r["test"] == "ks_2samp"} == {1.0}
 
 
+@pytest.mark.parametrize("n_ref, n_cur", [(30_000, 60_000), (300, 700), (15_000, 200), (4_000_000, 9_000_000)])
+def test_drift_report_of_any_size_holds_plain_numbers(spark, n_ref, n_cur):
+    """Every formula of the p-value must give a number that fits a row."""
+    from kindling.operators.drift import report_of_counts
+    shift = round(n_cur / math.sqrt(n_ref))   # a p-value between 0 and 1
+    rows = [(side, f, v, c) for f in (*C.NUMERIC_FEATURES, *C.RATE_FEATURES, "positive_rate")
+            for side, v, c in ((1, 0.0, n_ref // 2), (1, 1.0, n_ref // 2), (0, 0.0, n_cur // 2 + shift // 2), (0, 1.0, n_cur // 2 - shift // 2))]
+    rep = report_of_counts(spark.createDataFrame(rows, "_r int, feature string, value double, c long")).collect()
+    found = [r["p_value"] for r in rep if r["test"] == "ks_2samp"]
+    assert len(found) == 3 and all(0 < p <= 1 for p in found)
+    assert all(type(ks_pvalue(r["statistic"], n_ref, n_cur)) is float for r in rep if r["test"] == "ks_2samp")
+
+
 def test_drift_with_an_empty_or_null_side(spark):
     ref = spark.createDataFrame(_ref(seed=1).assign(target=1))
     none = ref.drop("target").where("false")
