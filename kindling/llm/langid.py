@@ -37,7 +37,7 @@ STEPS, STEPS_AFTER = 8, 4
 PENALTY = 0.5
 FOLDS = 5
 #: Text bytes worked on at once; bounds a task's memory, never the result.
-PART_BYTES = 8 << 20
+PART_BYTES = 2 << 20
 UNKNOWN = "und"
 #: The pipeline rejects documents whose main language has a lower proportion. A text of two or three
 #: languages is kept; only one spread over more goes.

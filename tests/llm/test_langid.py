@@ -135,3 +135,19 @@ def test_stage_judges_rows_by_their_own_text(docs_of):
     data = rows(60) + [(None, "12 345", None, "s"), (None, "katoma tikato", None, "s"), (0, "...", None, "s")]
     kept = L.keep_identified(docs_of(data)).collect()
     assert sorted(r.text for r in kept) == sorted(t for _, t, _, _ in rows(60) + [(None, "katoma tikato", None, "s")])
+
+
+def test_memory_of_a_task_does_not_follow_the_batch():
+    """Arrow batches hold up to 10,000 texts; arrays are made for a small part of them at once."""
+    import tracemalloc
+
+    class Sent:
+        value = (["a", "b", "c", "d"], np.zeros((4, 1 << 10), np.float32))
+
+    text = "".join(f"{chr(97 + k % 26)}{chr(97 + k % 7)} " for k in range(2000))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array([False] * 2000), pa.array([text] * 2000)], ["a", "b", "c"])
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in L._predict_batches([batch], Sent, 10, with_fit=True))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 2000 and peak < 160 << 20
